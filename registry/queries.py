@@ -7,7 +7,8 @@ from registry import derived, oracle
 from registry.shape import shown
 from tremora import schemas
 from tremora.functions import geo, scores, text
-from tremora.operators import activation, districts, enrich, facilities, impact, ingest, risk
+from tremora.operators import (activation, assign, districts, enrich, facilities, impact,
+                               ingest, risk)
 from tremora.plans import pool as pool_plan
 from tremora.plans import recommend
 from tremora.session import new_folder, written
@@ -280,7 +281,9 @@ def facility_rankings(spark, sf):
 
 
 def top_facilities(spark, sf):
-    return _pick(activation.top_facilities(_activated(spark, sf)),
+    candidates = pool(spark, sf)
+    best = activation.top_facilities(recommend.activated_facilities(top(spark, sf), candidates))
+    return _pick(activation.with_facility(best, candidates),
                  "event_id id facility_name facility_activation_score "
                  "affected_area_access_score activation_rank facility_order")
 
@@ -306,7 +309,6 @@ def logistics_recommendations(spark, sf):
 
 
 def map_export(spark, sf):
-    from tremora.operators import assign
     return shown(assign.map_export(_recommended(spark, sf)))
 
 

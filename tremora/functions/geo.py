@@ -2,7 +2,7 @@
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tremora.fixed import EARTH_RADIUS_KM
@@ -21,6 +21,35 @@ def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     return 2 * EARTH_RADIUS_KM * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
 
 
+def unit(lat: Column, lon: Column) -> tuple[Column, Column, Column]:
+    """The point on the unit sphere."""
+    phi, theta = F.radians(lat), F.radians(lon)
+    return F.cos(phi) * F.cos(theta), F.cos(phi) * F.sin(theta), F.sin(phi)
+
+
+def with_unit(df: DataFrame, lat: str, lon: str, prefix: str) -> DataFrame:
+    """Add ``{prefix}_x``, ``_y``, ``_z``: all trigonometry once per row and none per pair."""
+    return df.withColumns({f"{prefix}_{axis}": value for axis, value in
+                           zip("xyz", unit(F.col(lat), F.col(lon)))})
+
+
+def chord(one: str, other: str) -> Column:
+    """Squared straight-line distance on the unit sphere between two prefixes of ``with_unit``."""
+    parts = [F.col(f"{one}_{axis}") - F.col(f"{other}_{axis}") for axis in "xyz"]
+    x, y, z = (part * part for part in parts)
+    return x + y + z
+
+
+def chord_limit(km: float) -> float:
+    """The squared chord of a distance, for radius tests that need no distance."""
+    return (2 * math.sin(km / (2 * EARTH_RADIUS_KM))) ** 2
+
+
+def chord_km(squared: Column) -> Column:
+    """Great-circle km of a squared chord: the haversine distance, a quarter chord being its a."""
+    return 2 * EARTH_RADIUS_KM * F.asin(F.least(F.sqrt(squared) / 2, F.lit(1.0)))
+
+
 def _band_height(km: float) -> float:
     return math.degrees(km / EARTH_RADIUS_KM) * _SLACK
 

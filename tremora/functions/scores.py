@@ -32,7 +32,8 @@ def proximity(km: Column) -> Column:
 
 
 def impact(strength: Column, km: Column) -> Column:
-    return clip(strength * proximity(km) / 100)
+    """0-100 without a clip: both factors are within 0-100 already."""
+    return strength * proximity(km) / 100
 
 
 def dynamic_priority(impact_score: Column, base_risk: Column) -> Column:

@@ -1,5 +1,7 @@
 """Facilities against the ten worst districts of each event."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,25 +11,52 @@ from tremora.operators.pairing import fits_broadcast
 
 EVENT_COLUMNS = ["event_id", "event_name", "event_time", "severity", "magnitude", "depth_km",
                  "event_latitude", "event_longitude"]
+_PLACES = range(fixed.TOP_DISTRICTS)
+# what a pair needs of the pool; names and the like are joined to the ranked rows afterwards
+POOL_COLUMNS = ["id", "copy", "is_named", "latitude", "longitude", "facility_type_score",
+                "multimodal_score", "local_support_score", "historical_hazard_safety_score",
+                "fault_distance_safety_score"]
+
+
+def _known(column: Column) -> Column:
+    # candidates and ranked districts have coordinates; telling Spark spares a null test per use
+    return F.coalesce(column, F.lit(0.0))
 
 
 def events_with_districts(top: DataFrame) -> DataFrame:
-    """One row per event with place and weight of its (at most ten) top districts, in order."""
+    """One row per event: where its (at most ten) top districts are, and their share of weight.
+
+    The districts become plain columns ``_t0_x .. _t9_share``, so that the distances to all ten
+    are compiled code and not a loop over an array. An event with fewer repeats its first one,
+    with no share.
+    """
+    km = fixed.MAX_PRIORITY_DISTANCE_KM
     weight = F.greatest(F.col("dynamic_priority_score"), F.lit(0.0)).alias("weight")
-    return top.groupBy("event_id").agg(
+    placed = geo.with_unit(top, "district_latitude", "district_longitude", "_t")
+    rows = placed.groupBy("event_id").agg(
         *[F.first(c).alias(c) for c in EVENT_COLUMNS[1:]],
+        F.sum(weight).alias("_weights"),
         F.sort_array(F.collect_list(F.struct(
             "district_order", "district_latitude", "district_longitude", weight,
-        ))).alias("districts"),
+            F.col("_t_x").alias("x"), F.col("_t_y").alias("y"), F.col("_t_z").alias("z"),
+        ))).alias("_top"),
     )
+    around = F.array_distinct(F.flatten(F.transform("_top", lambda d: geo.cells_around(
+        d["district_latitude"], d["district_longitude"], km))))
+    columns = {}
+    for i in _PLACES:
+        here = F.get("_top", F.lit(i))
+        place = F.coalesce(here, F.get("_top", F.lit(0)))
+        for axis in "xyz":
+            columns[f"_t{i}_{axis}"] = _known(place[axis])
+        columns[f"_t{i}_share"] = F.when(here.isNull(), 0.0).when(
+            F.col("_weights") > 0, _known(here["weight"] / F.col("_weights"))
+        ).otherwise(1 / F.size("_top"))
+    return rows.withColumns({**columns, "_cells": around}).drop("_top", "_weights")
 
 
-def _sum_of(array: Column) -> Column:
-    return F.aggregate(array, F.lit(0.0), lambda total, x: total + x)
-
-
-def access(events: DataFrame, pool: DataFrame,
-           rows: int = fixed.BROADCAST_ROWS, salts: int = fixed.SALTS) -> DataFrame:
+def access(events: DataFrame, pool: DataFrame, rows: int = fixed.BROADCAST_ROWS,
+           salts: int = fixed.SALTS) -> DataFrame:
     """(event, eligible facility) rows with distances and proximity to the top districts.
 
     A facility counts only within 100 km of one of the districts, so an event looks it up in the
@@ -36,10 +65,10 @@ def access(events: DataFrame, pool: DataFrame,
     shuffled by cell, the events of a cell dealt over ``salts`` parts.
     """
     km = fixed.MAX_PRIORITY_DISTANCE_KM
-    around = F.array_distinct(F.flatten(F.transform("districts", lambda d: geo.cells_around(
-        d["district_latitude"], d["district_longitude"], km))))
-    looking = events.withColumn("_cell", F.explode(around))
-    placed = pool.withColumn("_at", geo.cell_of(F.col("latitude"), F.col("longitude"), km))
+    looking = events.withColumn("_cell", F.explode("_cells")).drop("_cells")
+    placed = geo.with_unit(pool.select(*POOL_COLUMNS), "latitude", "longitude", "_f").withColumn(
+        "_at", geo.cell_of(F.col("latitude"), F.col("longitude"), km))
+    placed = placed.withColumns({f"_f_{axis}": _known(F.col(f"_f_{axis}")) for axis in "xyz"})
     here = F.col("_cell") == F.col("_at")
     if fits_broadcast(pool, rows):
         pairs = looking.join(F.broadcast(placed), here)
@@ -50,22 +79,17 @@ def access(events: DataFrame, pool: DataFrame,
         pairs = looking.join(placed, here & (F.col("_part") == F.col("_salt"))).drop(
             "_part", "_salt")
 
-    distances = F.transform("districts", lambda d: geo.haversine(
-        d["district_latitude"], d["district_longitude"], F.col("latitude"), F.col("longitude")))
-    pairs = pairs.drop("_cell", "_at").withColumn("_km", distances).withColumn(
-        "nearest_priority_district_km", F.array_min("_km")).where(
-        F.col("nearest_priority_district_km") <= km)
-
-    weighted = pairs.withColumn("_w", F.col("districts.weight")).withColumn(
-        "_total", _sum_of(F.col("_w")))
+    chords = [geo.chord(f"_t{i}", "_f") for i in _PLACES]
+    pairs = pairs.where(F.least(*chords) <= geo.chord_limit(km))
+    pairs = pairs.withColumns({f"_km{i}": geo.chord_km(chords[i]) for i in _PLACES})
 
     def average(value) -> Column:
-        by_weight = F.zip_with("_km", "_w", lambda d, w: value(d) * w)
-        plain = F.transform("_km", value)
-        return F.when(F.col("_total") == 0, _sum_of(plain) / F.size("_km")).otherwise(
-            _sum_of(by_weight) / F.col("_total"))
+        return reduce(lambda a, b: a + b, [
+            value(F.col(f"_km{i}")) * F.col(f"_t{i}_share") for i in _PLACES])
 
-    return weighted.withColumns({
+    return pairs.withColumns({
+        "nearest_priority_district_km": F.least(*[f"_km{i}" for i in _PLACES]),
         "affected_area_access_score": average(scores.proximity),
         "weighted_priority_distance_km": average(lambda d: d),
-    }).drop("_km", "_w", "_total", "districts")
+    }).drop("_cell", "_at", *[f"_km{i}" for i in _PLACES],
+            *[f"_t{i}_{part}" for i in _PLACES for part in ("x", "y", "z", "share")])

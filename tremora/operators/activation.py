@@ -12,12 +12,13 @@ from tremora.operators.ranks import rank_by_score
 
 def with_event_impact(pairs: DataFrame) -> DataFrame:
     """Distance to the epicentre and impact of the event at the facility."""
-    km = geo.haversine(F.col("latitude"), F.col("longitude"),
-                       F.col("event_latitude"), F.col("event_longitude"))
+    placed = geo.with_unit(pairs, "event_latitude", "event_longitude", "_e")
+    placed = geo.with_unit(placed, "latitude", "longitude", "_f")
     strength = scores.event_strength(F.col("magnitude"), F.col("depth_km"))
-    return (pairs.withColumn("distance_to_epicenter_km", km)
+    return (placed.withColumn("distance_to_epicenter_km", geo.chord_km(geo.chord("_e", "_f")))
             .withColumn("facility_event_impact_score",
-                        scores.impact(strength, F.col("distance_to_epicenter_km"))))
+                        scores.impact(strength, F.col("distance_to_epicenter_km")))
+            .drop(*[f"{side}_{axis}" for side in ("_e", "_f") for axis in "xyz"]))
 
 
 def with_safety(pairs: DataFrame) -> DataFrame:
@@ -43,8 +44,14 @@ def rank_facilities(activated: DataFrame, bounded: bool = False) -> DataFrame:
                          ties=candidate_order(), bounded=bounded)
 
 
-def ranking_columns(ranked: DataFrame) -> DataFrame:
-    return ranked.withColumnsRenamed(
+def with_facility(rows: DataFrame, pool: DataFrame) -> DataFrame:
+    """Add the pool's other columns to ranked rows, by facility."""
+    others = [c for c in pool.columns if c not in rows.columns]
+    return rows.join(pool.select("id", "copy", *others), ["id", "copy"])
+
+
+def ranking_columns(ranked: DataFrame, pool: DataFrame) -> DataFrame:
+    return with_facility(ranked, pool).withColumnsRenamed(
         {"magnitude": "event_magnitude", "depth_km": "event_depth_km"}
     ).select(*schemas.RANKING_COLUMNS)
 

@@ -69,10 +69,13 @@ def top_districts_of_events(events: DataFrame, districts: DataFrame,
     # the slack covers rounding: an impact can exceed the strength by a few units in last place
     reachable = scores.dynamic_priority(F.col("event_strength") + 1e-6,
                                         F.col("final_risk_score")) >= F.col("_bound")
-    pairs = theta_join(impact.spread(impact.event_side(events)), side, reachable,
+    # both tests in one condition, the cheap one first: a filter set on top of the join would be
+    # pushed in front of it, and compute every distance
+    exact = scores.dynamic_priority(scores.impact(F.col("event_strength"), impact.distance()),
+                                    F.col("final_risk_score")) >= F.col("_bound")
+    pairs = theta_join(impact.spread(impact.event_side(events)), side, reachable & exact,
                        "event_id", ["province_key", "district_key"], rows)
-    near = impact.with_impact(pairs).where(F.col("dynamic_priority_score") >= F.col("_bound"))
-    return _first_ten(near.select(*schemas.SCORED_COLUMNS), top)
+    return _first_ten(impact.with_impact(pairs).select(*schemas.SCORED_COLUMNS), top)
 
 
 def event_attributes(scored: DataFrame) -> DataFrame:

@@ -82,14 +82,15 @@ def one_per_name(facilities: DataFrame) -> DataFrame:
 
 def candidate_order() -> list:
     """The order facilities are listed in; it settles all later ties."""
-    return [F.desc("is_named"), F.desc("facility_type_score"), F.asc("id")]
+    return [F.desc("is_named"), F.desc("facility_type_score"), F.asc("id"), F.asc("copy")]
 
 
 def with_district_risk(facilities: DataFrame, risk: DataFrame) -> DataFrame:
     """Add hazard and risk of the district; unknown ones get the mean of the risk table.
 
     Missing keys match missing keys. The join carries no hint: Spark broadcasts the risk side if
-    its size allows and splits skewed keys if not.
+    its size allows and splits skewed keys if not. A district listed twice lists its facilities
+    twice; ``copy`` numbers them.
     """
     risk = risk.select(F.col("province_key").alias("_province"),
                        F.col("district_key").alias("_district"),
@@ -97,7 +98,9 @@ def with_district_risk(facilities: DataFrame, risk: DataFrame) -> DataFrame:
     means = {c: risk.agg(F.avg(c)).scalar() for c in ("hazard_score", "final_risk_score")}
     same = (F.col("province_key").eqNullSafe(F.col("_province"))
             & F.col("district_key").eqNullSafe(F.col("_district")))
+    copies = W.partitionBy("id").orderBy("hazard_score", "final_risk_score")
     return (facilities.join(risk, same, "left").drop("_province", "_district")
+            .withColumn("copy", F.row_number().over(copies))
             .withColumns({c: F.coalesce(F.col(c), mean) for c, mean in means.items()}))
 
 

@@ -1,6 +1,6 @@
 """What an event does to a district."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tremora import fixed, schemas
@@ -10,22 +10,24 @@ from tremora.session import task_count
 
 
 def event_side(events: DataFrame) -> DataFrame:
-    return (
+    sided = (
         events.withColumnsRenamed({"latitude": "event_latitude", "longitude": "event_longitude"})
         .withColumns({
             "severity": scores.severity(F.col("magnitude")),
             "event_strength": scores.event_strength(F.col("magnitude"), F.col("depth_km")),
         })
     )
+    return geo.with_unit(sided, "event_latitude", "event_longitude", "_e")
 
 
 def district_side(districts: DataFrame) -> DataFrame:
-    return districts.select(
+    sided = districts.select(
         "province", "district", "province_key", "district_key",
         F.col("latitude").alias("district_latitude"),
         F.col("longitude").alias("district_longitude"),
         "final_risk_score",
     )
+    return geo.with_unit(sided, "district_latitude", "district_longitude", "_d")
 
 
 def spread(events: DataFrame) -> DataFrame:
@@ -33,16 +35,23 @@ def spread(events: DataFrame) -> DataFrame:
 
     Every later step per event (ranks, top lists, arrays) finds this partitioning in place, so
     the pairs themselves are never shuffled. The number is given so that adaptive execution does
-    not merge partitions that are small now but fan out a thousandfold.
+    not merge partitions that are small now but fan out a thousandfold. A stream keeps the
+    partitions it has.
     """
-    return events.repartition(task_count(events.sparkSession), "event_id")
+    if events.isStreaming:
+        return events
+    # twice the shuffle setting: with the same number Spark would take an earlier shuffle by
+    # event for this one, and merge its partitions
+    return events.repartition(2 * task_count(events.sparkSession), "event_id")
+
+
+def distance() -> Column:
+    return geo.chord_km(geo.chord("_e", "_d"))
 
 
 def with_impact(pairs: DataFrame) -> DataFrame:
-    km = geo.haversine(F.col("event_latitude"), F.col("event_longitude"),
-                       F.col("district_latitude"), F.col("district_longitude"))
     return (
-        pairs.withColumn("distance_to_epicenter_km", km)
+        pairs.withColumn("distance_to_epicenter_km", distance())
         .withColumn("event_impact_score", scores.impact(F.col("event_strength"),
                                                         F.col("distance_to_epicenter_km")))
         .withColumn("dynamic_priority_score",
@@ -55,9 +64,9 @@ def score_pairs(events: DataFrame, districts: DataFrame,
                 rows: int = fixed.BROADCAST_ROWS) -> DataFrame:
     """Every event with every district: the scored feed is defined as that product.
 
-    Map-only while the district table fits. Reports that need less than the product (top lists,
-    worst cases) do not start from here; they bound the pairs first.
+    Only events move, one row each, while the district table fits. Reports that need less than
+    the product (top lists, worst cases) do not start from here; they bound the pairs first.
     """
-    pairs = theta_join(event_side(events), district_side(districts), None,
+    pairs = theta_join(spread(event_side(events)), district_side(districts), None,
                        "event_id", ["province_key", "district_key"], rows)
     return with_impact(pairs).select(*schemas.SCORED_COLUMNS)

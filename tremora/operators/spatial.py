@@ -18,6 +18,8 @@ def radius_join(points: DataFrame, centers: DataFrame, km: float,
     without a shuffle, so a crowded cell costs no more than its own rows. Else both are
     shuffled, with the points of a cell dealt over ``salts`` parts by position.
     """
+    centers = geo.with_unit(centers, "center_lat", "center_lon", "_c")
+    points = geo.with_unit(points, "point_lat", "point_lon", "_p")
     listed = centers.withColumn(
         "_cell", F.explode(geo.cells_around(F.col("center_lat"), F.col("center_lon"), km)))
     placed = points.withColumn("_at", geo.cell_of(F.col("point_lat"), F.col("point_lon"), km))
@@ -30,6 +32,6 @@ def radius_join(points: DataFrame, centers: DataFrame, km: float,
             "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
         pairs = placed.join(listed, (F.col("_at") == F.col("_cell"))
                             & (F.col("_part") == F.col("_salt"))).drop("_part", "_salt")
-    distance = geo.haversine(F.col("point_lat"), F.col("point_lon"),
-                             F.col("center_lat"), F.col("center_lon"))
-    return pairs.where(distance <= km).drop("_at", "_cell")
+    near = geo.chord_km(geo.chord("_p", "_c")) <= km
+    return pairs.where(near).drop("_at", "_cell", *[f"{side}_{axis}" for side in ("_p", "_c")
+                                                    for axis in "xyz"])
