@@ -9,6 +9,9 @@ from tremora.fixed import EARTH_RADIUS_KM
 
 # Widens every cell a little, so that rounding can never lose a pair at the exact radius.
 _SLACK = 1 + 1e-9
+# A half, short by less than results can show, so that opposite points never give asin over 1.
+_HALF = 0.5 * (1 - 1e-15)
+KM_PER_HALF_ANGLE = 2 * EARTH_RADIUS_KM
 _CELLS_PER_BAND = 100_000_000
 
 
@@ -22,9 +25,10 @@ def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
 
 
 def unit(lat: Column, lon: Column) -> tuple[Column, Column, Column]:
-    """The point on the unit sphere."""
+    """The point on a sphere of diameter one, on which a chord is the sine of half its angle."""
     phi, theta = F.radians(lat), F.radians(lon)
-    return F.cos(phi) * F.cos(theta), F.cos(phi) * F.sin(theta), F.sin(phi)
+    flat = F.cos(phi) * _HALF
+    return flat * F.cos(theta), flat * F.sin(theta), F.sin(phi) * _HALF
 
 
 def with_unit(df: DataFrame, lat: str, lon: str, prefix: str) -> DataFrame:
@@ -34,20 +38,32 @@ def with_unit(df: DataFrame, lat: str, lon: str, prefix: str) -> DataFrame:
 
 
 def chord(one: str, other: str) -> Column:
-    """Squared straight-line distance on the unit sphere between two prefixes of ``with_unit``."""
-    parts = [F.col(f"{one}_{axis}") - F.col(f"{other}_{axis}") for axis in "xyz"]
-    x, y, z = (part * part for part in parts)
-    return x + y + z
+    """Squared straight-line distance between two prefixes of ``with_unit``.
+
+    Equal to the ``a`` of the haversine formula, and as exact for small distances.
+    """
+    x, y, z = (F.col(f"{one}_{axis}") - F.col(f"{other}_{axis}") for axis in "xyz")
+    return x * x + y * y + z * z
 
 
-def chord_limit(km: float) -> float:
-    """The squared chord of a distance, for radius tests that need no distance."""
-    return (2 * math.sin(km / (2 * EARTH_RADIUS_KM))) ** 2
+def half_angle(squared: Column) -> Column:
+    """Half the central angle of a squared chord; ``KM_PER_HALF_ANGLE`` turns it into km."""
+    return F.asin(F.sqrt(squared))
 
 
 def chord_km(squared: Column) -> Column:
-    """Great-circle km of a squared chord: the haversine distance, a quarter chord being its a."""
-    return 2 * EARTH_RADIUS_KM * F.asin(F.least(F.sqrt(squared) / 2, F.lit(1.0)))
+    return half_angle(squared) * KM_PER_HALF_ANGLE
+
+
+def product(one: str, other: str) -> Column:
+    """Scalar product of two prefixes of ``with_unit``. The shortest radius test there is
+    (``product >= product_limit(km)``), but too coarse for distances below a metre."""
+    x, y, z = (F.col(f"{one}_{axis}") * F.col(f"{other}_{axis}") for axis in "xyz")
+    return x + y + z
+
+
+def product_limit(km: float) -> float:
+    return math.cos(km / EARTH_RADIUS_KM) / 4
 
 
 def _band_height(km: float) -> float:

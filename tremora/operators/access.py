@@ -9,12 +9,12 @@ from tremora import fixed
 from tremora.functions import geo, scores
 from tremora.operators.pairing import fits_broadcast
 
-EVENT_COLUMNS = ["event_id", "event_name", "event_time", "severity", "magnitude", "depth_km",
-                 "event_latitude", "event_longitude"]
+EVENT_COLUMNS = ["event_id", "event_name", "magnitude", "depth_km", "event_latitude",
+                 "event_longitude"]
 _PLACES = range(fixed.TOP_DISTRICTS)
 # what a pair needs of the pool; names and the like are joined to the ranked rows afterwards
-POOL_COLUMNS = ["id", "copy", "is_named", "latitude", "longitude", "facility_type_score",
-                "multimodal_score", "local_support_score", "historical_hazard_safety_score",
+POOL_COLUMNS = ["id", "copy", "is_named", "facility_type_score", "multimodal_score",
+                "local_support_score", "historical_hazard_safety_score",
                 "fault_distance_safety_score"]
 
 
@@ -49,9 +49,13 @@ def events_with_districts(top: DataFrame) -> DataFrame:
         place = F.coalesce(here, F.get("_top", F.lit(0)))
         for axis in "xyz":
             columns[f"_t{i}_{axis}"] = _known(place[axis])
-        columns[f"_t{i}_share"] = F.when(here.isNull(), 0.0).when(
-            F.col("_weights") > 0, _known(here["weight"] / F.col("_weights"))
-        ).otherwise(1 / F.size("_top"))
+        columns[f"_t{i}_share"] = _known(F.when(here.isNull(), 0.0).when(
+            F.col("_weights") > 0, here["weight"] / F.col("_weights")
+        ).otherwise(1 / F.size("_top")))
+    columns["event_strength"] = _known(
+        scores.event_strength(F.col("magnitude"), F.col("depth_km")))
+    epicentre = geo.unit(F.col("event_latitude"), F.col("event_longitude"))
+    columns.update({f"_e_{axis}": _known(v) for axis, v in zip("xyz", epicentre)})
     return rows.withColumns({**columns, "_cells": around}).drop("_top", "_weights")
 
 
@@ -59,16 +63,22 @@ def access(events: DataFrame, pool: DataFrame, rows: int = fixed.BROADCAST_ROWS,
            salts: int = fixed.SALTS) -> DataFrame:
     """(event, eligible facility) rows with distances and proximity to the top districts.
 
+    Rows carry ids and numbers only; names and attributes are joined to what is left of them.
+
     A facility counts only within 100 km of one of the districts, so an event looks it up in the
     grid cells around its districts; each facility has one cell and shows up once. With
     the pool broadcast (behind a count) the event rows stay where they are. A larger pool is
     shuffled by cell, the events of a cell dealt over ``salts`` parts.
+
+    All trigonometry is done beforehand, once per event and facility. What is left per pair must
+    compile to one method below 8000 bytes, or the JVM interprets it and is ten times slower.
     """
     km = fixed.MAX_PRIORITY_DISTANCE_KM
-    looking = events.withColumn("_cell", F.explode("_cells")).drop("_cells")
-    placed = geo.with_unit(pool.select(*POOL_COLUMNS), "latitude", "longitude", "_f").withColumn(
-        "_at", geo.cell_of(F.col("latitude"), F.col("longitude"), km))
-    placed = placed.withColumns({f"_f_{axis}": _known(F.col(f"_f_{axis}")) for axis in "xyz"})
+    looking = events.withColumn("_cell", F.explode("_cells")).drop(
+        "_cells", *EVENT_COLUMNS[1:])
+    place = F.col("latitude"), F.col("longitude")
+    placed = pool.select(*POOL_COLUMNS, geo.cell_of(*place, km).alias("_at"), *[
+        _known(value).alias(f"_f_{axis}") for axis, value in zip("xyz", geo.unit(*place))])
     here = F.col("_cell") == F.col("_at")
     if fits_broadcast(pool, rows):
         pairs = looking.join(F.broadcast(placed), here)
@@ -79,17 +89,20 @@ def access(events: DataFrame, pool: DataFrame, rows: int = fixed.BROADCAST_ROWS,
         pairs = looking.join(placed, here & (F.col("_part") == F.col("_salt"))).drop(
             "_part", "_salt")
 
-    chords = [geo.chord(f"_t{i}", "_f") for i in _PLACES]
-    pairs = pairs.where(F.least(*chords) <= geo.chord_limit(km))
-    pairs = pairs.withColumns({f"_km{i}": geo.chord_km(chords[i]) for i in _PLACES})
+    pairs = pairs.where(reduce(lambda a, b: a | b, [
+        geo.product(f"_t{i}", "_f") >= geo.product_limit(km) for i in _PLACES]))
+    # sums over the ten districts, in angles, with all factors that are common taken out
+    pairs = pairs.withColumns({f"_c{i}": geo.chord(f"_t{i}", "_f") for i in _PLACES})
+    pairs = pairs.withColumns({f"_a{i}": geo.half_angle(F.col(f"_c{i}")) for i in _PLACES})
 
     def average(value) -> Column:
         return reduce(lambda a, b: a + b, [
-            value(F.col(f"_km{i}")) * F.col(f"_t{i}_share") for i in _PLACES])
+            value(F.col(f"_a{i}")) * F.col(f"_t{i}_share") for i in _PLACES])
 
+    fading = -geo.KM_PER_HALF_ANGLE / fixed.DISTANCE_DECAY_KM
     return pairs.withColumns({
-        "nearest_priority_district_km": F.least(*[f"_km{i}" for i in _PLACES]),
-        "affected_area_access_score": average(scores.proximity),
-        "weighted_priority_distance_km": average(lambda d: d),
-    }).drop("_cell", "_at", *[f"_km{i}" for i in _PLACES],
+        "nearest_priority_district_km": geo.chord_km(F.least(*[f"_c{i}" for i in _PLACES])),
+        "affected_area_access_score": average(lambda angle: F.exp(angle * fading)) * 100,
+        "weighted_priority_distance_km": average(lambda angle: angle) * geo.KM_PER_HALF_ANGLE,
+    }).drop("_cell", "_at", *[f"_{part}{i}" for i in _PLACES for part in "ca"],
             *[f"_t{i}_{part}" for i in _PLACES for part in ("x", "y", "z", "share")])

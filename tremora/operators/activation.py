@@ -11,14 +11,13 @@ from tremora.operators.ranks import rank_by_score
 
 
 def with_event_impact(pairs: DataFrame) -> DataFrame:
-    """Distance to the epicentre and impact of the event at the facility."""
-    placed = geo.with_unit(pairs, "event_latitude", "event_longitude", "_e")
-    placed = geo.with_unit(placed, "latitude", "longitude", "_f")
-    strength = scores.event_strength(F.col("magnitude"), F.col("depth_km"))
-    return (placed.withColumn("distance_to_epicenter_km", geo.chord_km(geo.chord("_e", "_f")))
-            .withColumn("facility_event_impact_score",
-                        scores.impact(strength, F.col("distance_to_epicenter_km")))
-            .drop(*[f"{side}_{axis}" for side in ("_e", "_f") for axis in "xyz"]))
+    """Distance to the epicentre and impact of the event at the facility (rows of ``access``)."""
+    return (
+        pairs.withColumn("distance_to_epicenter_km", geo.chord_km(geo.chord("_e", "_f")))
+        .withColumn("facility_event_impact_score", scores.impact(
+            F.col("event_strength"), F.col("distance_to_epicenter_km")))
+        .drop("event_strength", *[f"{side}_{axis}" for side in ("_e", "_f") for axis in "xyz"])
+    )
 
 
 def with_safety(pairs: DataFrame) -> DataFrame:
@@ -50,10 +49,13 @@ def with_facility(rows: DataFrame, pool: DataFrame) -> DataFrame:
     return rows.join(pool.select("id", "copy", *others), ["id", "copy"])
 
 
-def ranking_columns(ranked: DataFrame, pool: DataFrame) -> DataFrame:
-    return with_facility(ranked, pool).withColumnsRenamed(
-        {"magnitude": "event_magnitude", "depth_km": "event_depth_km"}
-    ).select(*schemas.RANKING_COLUMNS)
+def ranking_columns(ranked: DataFrame, events: DataFrame, pool: DataFrame) -> DataFrame:
+    """The ranking with the attributes of events and facilities."""
+    about = events.select(
+        "event_id", "event_name", F.col("magnitude").alias("event_magnitude"),
+        F.col("depth_km").alias("event_depth_km"), "event_latitude", "event_longitude")
+    return with_facility(ranked.join(about, "event_id"), pool).select(
+        *schemas.RANKING_COLUMNS)
 
 
 def top_facilities(activated: DataFrame, top: int = fixed.TOP_FACILITIES) -> DataFrame:
