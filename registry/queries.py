@@ -9,6 +9,7 @@ from tremora import schemas
 from tremora.functions import geo, scores, text
 from tremora.operators import (activation, assign, districts, enrich, facilities, impact,
                                ingest, risk)
+from tremora.operators.pairing import fits_broadcast
 from tremora.plans import pool as pool_plan
 from tremora.plans import recommend
 from tremora.session import new_folder, written
@@ -34,10 +35,22 @@ def risk_table(spark: SparkSession, sf: str) -> DataFrame:
     return derived.districts(spark, sf).select(*schemas.RISK.fieldNames())
 
 
-def pool(spark: SparkSession, sf: str) -> DataFrame:
+def build_pool(spark: SparkSession, sf: str) -> DataFrame:
     return pool_plan.build_pool(derived.pois(spark, sf), risk_table(spark, sf))
 
 
+_POOLS: dict[tuple[str, str], str] = {}
+
+
+def pool(spark: SparkSession, sf: str) -> DataFrame:
+    """The facility pool as the jobs use it: a table built once and read by every event."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _POOLS:
+        _POOLS[key] = new_folder(spark, "pool-table")
+        build_pool(spark, sf).write.parquet(_POOLS[key])
+    return spark.read.parquet(_POOLS[key])
+
+
 def top(spark: SparkSession, sf: str) -> DataFrame:
     return districts.top_districts_of_events(events(spark, sf), derived.districts(spark, sf))
 
@@ -239,7 +252,7 @@ def min_max_scaled(spark, sf):
 
 
 def facility_pool(spark, sf):
-    return _pick(pool(spark, sf),
+    return _pick(build_pool(spark, sf),
                  "id historical_hazard_safety_score fault_distance_safety_score "
                  "local_support_score multimodal_score facility_type_score is_named")
 
@@ -272,7 +285,11 @@ def eligible_facilities(spark, sf):
 
 
 def facility_activation_rank(spark, sf):
-    return _pick(activation.rank_facilities(_activated(spark, sf)),
+    candidates = pool(spark, sf)
+    ranked = activation.rank_facilities(
+        recommend.activated_facilities(top(spark, sf), candidates),
+        bounded=fits_broadcast(candidates))
+    return _pick(ranked,
                  "event_id id facility_activation_score activation_rank")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tremora import fixed
 from tremora.functions import geo, scores
-from tremora.operators.pairing import fits_broadcast
+from tremora.operators.pairing import fits_broadcast, numbers
 
 EVENT_COLUMNS = ["event_id", "event_name", "magnitude", "depth_km", "event_latitude",
                  "event_longitude"]
@@ -85,7 +85,7 @@ def access(events: DataFrame, pool: DataFrame, rows: int = fixed.BROADCAST_ROWS,
     else:
         looking = looking.withColumn("_part", F.pmod(F.xxhash64("event_id"), F.lit(salts)))
         placed = placed.withColumn(
-            "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+            "_salt", F.explode(numbers(salts)))
         pairs = looking.join(placed, here & (F.col("_part") == F.col("_salt"))).drop(
             "_part", "_salt")
 

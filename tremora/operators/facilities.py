@@ -9,9 +9,14 @@ from tremora.functions import scores, text
 
 
 def in_categories(pois: DataFrame, categories) -> DataFrame:
-    """Points of the given categories that have coordinates."""
-    return (pois.where(F.col("kategori").isin(*categories))
-            .dropna(subset=["latitude", "longitude"]))
+    """Points of the given categories that have coordinates.
+
+    Spelled out, as ``dropna`` is a test the Parquet scan cannot take over.
+    """
+    kept = pois.where(F.col("kategori").isin(*categories))
+    for c in ("latitude", "longitude"):
+        kept = kept.where(F.col(c).isNotNull() & ~F.isnan(c))
+    return kept
 
 
 def candidates(pois: DataFrame) -> DataFrame:

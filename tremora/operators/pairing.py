@@ -7,6 +7,11 @@ from tremora import fixed
 from tremora.session import task_count
 
 
+def numbers(count: int) -> Column:
+    """0 .. count - 1 as an array, to list a row under every part."""
+    return F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long"))
+
+
 def fits_broadcast(df: DataFrame, rows: int = fixed.BROADCAST_ROWS) -> bool:
     """Counts the side (for a Parquet table that reads footers only)."""
     return df.count() <= rows
@@ -29,11 +34,11 @@ def theta_join(big: DataFrame, small: DataFrame, condition: Column | None,
     slices = task_count(big.sparkSession)
     big = big.withColumns({
         "_slice": F.pmod(F.xxhash64(big_key), F.lit(slices)),
-        "_block": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long"),
+        "_block": F.explode(numbers(blocks)),
     })
     small = small.withColumns({
         "_block_of": F.pmod(F.xxhash64(*small_keys), F.lit(blocks)),
-        "_slice_of": F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).cast("long"),
+        "_slice_of": F.explode(numbers(slices)),
     })
     same = (F.col("_slice") == F.col("_slice_of")) & (F.col("_block") == F.col("_block_of"))
     return (big.join(small.hint("shuffle_hash"), same & everything, "inner")

@@ -5,7 +5,10 @@ from pyspark.sql import functions as F
 
 from tremora import fixed
 from tremora.functions import geo
-from tremora.operators.pairing import fits_broadcast
+from tremora.operators.pairing import fits_broadcast, numbers
+
+# a radius touches at most three bands, and at most four cells (each a radius wide) in a band
+_MOST_CELLS = 12
 
 
 def radius_join(points: DataFrame, centers: DataFrame, km: float,
@@ -14,7 +17,7 @@ def radius_join(points: DataFrame, centers: DataFrame, km: float,
 
     ``points`` (``point_lat``, ``point_lon``, ...) is the side that grows; a point has one cell.
     ``centers`` (``center_lat``, ``center_lon``, ...) is listed under every cell it can reach.
-    If the listed centers are counted to fit, they are broadcast and the points stream past them
+    If the centers are few enough for their list to fit, it is broadcast and the points stream past it
     without a shuffle, so a crowded cell costs no more than its own rows. Else both are
     shuffled, with the points of a cell dealt over ``salts`` parts by position.
     """
@@ -23,13 +26,13 @@ def radius_join(points: DataFrame, centers: DataFrame, km: float,
     listed = centers.withColumn(
         "_cell", F.explode(geo.cells_around(F.col("center_lat"), F.col("center_lon"), km)))
     placed = points.withColumn("_at", geo.cell_of(F.col("point_lat"), F.col("point_lon"), km))
-    if fits_broadcast(listed, rows):
+    if fits_broadcast(centers, rows // _MOST_CELLS):
         pairs = placed.join(F.broadcast(listed), F.col("_at") == F.col("_cell"))
     else:
         placed = placed.withColumn(
             "_part", F.pmod(F.xxhash64("point_lat", "point_lon"), F.lit(salts)))
         listed = listed.withColumn(
-            "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+            "_salt", F.explode(numbers(salts)))
         pairs = placed.join(listed, (F.col("_at") == F.col("_cell"))
                             & (F.col("_part") == F.col("_salt"))).drop("_part", "_salt")
     near = geo.chord_km(geo.chord("_p", "_c")) <= km
