@@ -326,7 +326,12 @@ def all_sql() -> dict[str, str]:
             SELECT {columns_sql("event_id", "province_key", "district_key",
                                 "dynamic_priority_score", "event_priority_rank")},
                    event_priority_rank <= 10 AS is_priority_district FROM ranked""",
+        "event_priority_rank_in_bands": _with(("ranked",)) + f"""
+            SELECT {columns_sql("event_id", "province_key", "district_key",
+                                "dynamic_priority_score", "event_priority_rank")},
+                   event_priority_rank <= 10 AS is_priority_district FROM ranked""",
         "top_priority_districts": sql("topd", TOP_COLUMNS),
+        "top_priority_districts_of_pairs": sql("topd", TOP_COLUMNS),
         "event_attributes": _with(("fx_event",)) + f"""
             SELECT event_id, event_name, event_time, {SEVERITY} AS severity,
                    round(magnitude, 6) AS magnitude, round(depth_km, 4) AS depth_km,
@@ -334,6 +339,8 @@ def all_sql() -> dict[str, str]:
             FROM fx_event""",
         "district_worst_case": sql("worst", LIVE_COLUMNS.replace(
             "live_risk_score risk_level", "")),
+        "district_worst_case_of_pairs": sql("worst", LIVE_COLUMNS.replace(
+            "live_risk_score risk_level", "")),
         "live_risk": sql("live", LIVE_COLUMNS),
         "json_decode_events": _with(("decoded",)) + " SELECT feed_id, " + ", ".join(
             f'"{f}" AS raw_{f.lower()}' for f in _FIELDS) + " FROM decoded",

@@ -1,5 +1,6 @@
 """The Spark side of every checked query."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,10 +46,12 @@ _POOLS: dict[tuple[str, str], str] = {}
 def pool(spark: SparkSession, sf: str) -> DataFrame:
     """The facility pool as the jobs use it: a table built once and read by every event."""
     key = (spark.sparkContext.applicationId, sf)
-    if key not in _POOLS:
+    try:
+        return spark.read.parquet(_POOLS[key])
+    except (KeyError, AnalysisException):  # not built yet, or its folder was cleared
         _POOLS[key] = new_folder(spark, "pool-table")
         build_pool(spark, sf).write.parquet(_POOLS[key])
-    return spark.read.parquet(_POOLS[key])
+        return spark.read.parquet(_POOLS[key])
 
 
 def top(spark: SparkSession, sf: str) -> DataFrame:
@@ -101,16 +104,29 @@ def event_district_impact(spark, sf):
     return shown(scored(spark, sf))
 
 
+RANK_COLUMNS = ("event_id province_key district_key dynamic_priority_score "
+                "event_priority_rank is_priority_district")
+
+
 def event_priority_rank(spark, sf):
-    return _pick(districts.rank_districts(scored(spark, sf)),
-                 "event_id province_key district_key dynamic_priority_score "
-                 "event_priority_rank is_priority_district")
+    return _pick(districts.rank_districts_of_events(events(spark, sf),
+                                                    derived.districts(spark, sf)), RANK_COLUMNS)
+
+
+def event_priority_rank_in_bands(spark, sf):
+    """The same from a table of pairs, where any event may be hot."""
+    return _pick(districts.rank_districts(scored(spark, sf)), RANK_COLUMNS)
 
 
 def top_priority_districts(spark, sf):
     return _pick(top(spark, sf), oracle.TOP_COLUMNS)
 
 
+def top_priority_districts_of_pairs(spark, sf):
+    """The same from a table of pairs, as job 3 gets them."""
+    return _pick(districts.top_districts(scored(spark, sf)), oracle.TOP_COLUMNS)
+
+
 def event_attributes(spark, sf):
     out = districts.event_attributes(scored(spark, sf))
     return shown(out).withColumn("depth_km", F.round("depth_km", 4))
@@ -122,6 +138,11 @@ def district_worst_case(spark, sf):
     return shown(risk.worst_case_of_events(events(spark, sf), derived.districts(spark, sf)))
 
 
+def district_worst_case_of_pairs(spark, sf):
+    """The same from a table of pairs, as job 2 gets them."""
+    return shown(risk.district_worst_case(scored(spark, sf)))
+
+
 def live_risk(spark, sf):
     return shown(risk.with_live_risk(risk.worst_case_of_events(
         events(spark, sf), derived.districts(spark, sf))))
@@ -442,8 +463,9 @@ def recommendation_feed(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     load_districts, refresh_districts, haversine_pairs, event_strength, severity_counts,
-    event_district_impact, event_priority_rank, top_priority_districts, event_attributes,
-    district_worst_case, live_risk, json_decode_events, normalized_events, quarantined_events,
+    event_district_impact, event_priority_rank, event_priority_rank_in_bands,
+    top_priority_districts, top_priority_districts_of_pairs, event_attributes,
+    district_worst_case, district_worst_case_of_pairs, live_risk, json_decode_events, normalized_events, quarantined_events,
     event_dedup, first_reports, candidate_filter, support_filter, normalize_text,
     otogar_keyword_filter, facility_names, facility_access_type, facility_geo_dedup,
     facility_name_dedup, facility_risk_join, prepared_facilities, local_support, multimodal,

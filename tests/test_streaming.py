@@ -6,10 +6,9 @@ from pyspark.sql import functions as F
 from tests import brute
 from tests.test_operators import districts_df, events_df, risk_rows, rows
 from tremora import schemas
-from tremora.operators import impact, risk
+from tremora.operators import districts, impact, ingest, risk
 from tremora.plans import recommend
 from tremora.plans.pool import build_pool
-from tremora.operators import districts
 from tremora.sources import feeds, tables
 from tremora.streaming import jobs
 from tremora.streaming.ledger import Ledger
@@ -151,3 +150,27 @@ def test_kafka_options():
     assert feeds.kafka_source("h:9", "t") == {
         "kafka.bootstrap.servers": "h:9", "subscribe": "t", "startingOffsets": "latest"}
     assert feeds.kafka_sink("h:9", "t") == {"kafka.bootstrap.servers": "h:9", "topic": "t"}
+
+
+def test_lateness_rule(spark):
+    events = events_df(spark, 60).withColumn("ingested_at", F.lit("2024-01-01T10:30:00"))
+    kept = ingest.recent(ingest.with_event_time(events))
+    assert {r.event_time for r in kept.collect()} == {
+        f"2024-01-01T10:{m}:00" for m in range(20, 60)}
+
+
+def test_new_thresholds_feed_the_levels(spark, scored):
+    table = districts_df(spark, 24)
+    steps = risk.steps_of(risk.level_thresholds(table))
+    assert [name for _, name in steps] == ["Low", "Medium", "High"]
+    got = risk.with_live_risk(risk.district_worst_case(scored), steps=steps)
+    for r in got.collect():
+        name = next((n for most, n in steps if r.live_risk_score <= most), "Very High")
+        assert r.risk_level == name
+
+
+def test_batch_feed_of_any_format(spark, tmp_path):
+    publish = jobs.format_feed("json", {"path": str(tmp_path / "feed")})
+    publish(feeds.encode(spark.range(3), F.col("id").cast("string")), 0)
+    assert sorted(r.value for r in spark.read.json(str(tmp_path / "feed")).collect()) == [
+        '{"id":0}', '{"id":1}', '{"id":2}']

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tremora import fixed, schemas
 from tremora.functions import scores
 from tremora.operators import impact
-from tremora.operators.pairing import theta_join
+from tremora.operators.pairing import fits_broadcast, theta_join
 from tremora.operators.ranks import rank_by_score
 
 
@@ -28,6 +28,14 @@ def rank_districts(scored: DataFrame, bounded: bool = False) -> DataFrame:
     )
 
 
+def rank_districts_of_events(events: DataFrame, districts: DataFrame,
+                             rows: int = fixed.BROADCAST_ROWS) -> DataFrame:
+    """The same straight from events and districts. A counted district table bounds the rows of
+    an event, and its pairs are in one task already, so nothing but the events is shuffled."""
+    return rank_districts(impact.score_pairs(events, districts, rows),
+                          bounded=fits_broadcast(districts, rows))
+
+
 def _first_ten(pairs: DataFrame, top: int) -> DataFrame:
     """Ten rows per event, with their position and dense rank.
 

@@ -18,6 +18,9 @@ SCORE_TRIGGER = {"processingTime": "10 seconds"}
 RISK_TRIGGER = {"processingTime": "15 seconds"}
 RECOMMEND_TRIGGER = {"processingTime": "20 seconds"}
 
+# batches between two foldings of a keyed table's history
+COMPACT_EVERY = 100
+
 Publish = Callable[[DataFrame, int], None]
 
 
@@ -98,10 +101,12 @@ def update_live_risk(scored: DataFrame, batch_id: int, table: Ledger, publish: P
 
 
 def risk_job(scored: DataFrame, table: Ledger, publish: Publish, checkpoint: str,
-             trigger: dict = RISK_TRIGGER) -> StreamingQuery:
+             trigger: dict = RISK_TRIGGER, compact_every: int = COMPACT_EVERY
+             ) -> StreamingQuery:
     """``scored`` is the decoded stream of job 1's feed."""
     def step(batch: DataFrame, batch_id: int) -> None:
         update_live_risk(batch, batch_id, table, publish)
+        table.compact_every(compact_every, batch_id)
     return (scored.writeStream.foreachBatch(step)
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
@@ -169,10 +174,12 @@ def update_recommendations(scored: DataFrame, batch_id: int, pairs: Ledger, pool
 
 
 def recommend_job(scored: DataFrame, pairs: Ledger, pool: DataFrame, table: Ledger,
-                  publish: Publish, checkpoint: str, trigger: dict = RECOMMEND_TRIGGER
-                  ) -> StreamingQuery:
+                  publish: Publish, checkpoint: str, trigger: dict = RECOMMEND_TRIGGER,
+                  compact_every: int = COMPACT_EVERY) -> StreamingQuery:
     def step(batch: DataFrame, batch_id: int) -> None:
         update_recommendations(batch, batch_id, pairs, pool, table, publish)
+        for book in (pairs, table):
+            book.compact_every(compact_every, batch_id)
     return (scored.writeStream.foreachBatch(step)
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
