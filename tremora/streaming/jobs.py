@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tremora import fixed, schemas
 from tremora.operators import districts, impact, ingest, risk
 from tremora.plans import recommend
+from tremora.session import written
 from tremora.sources import feeds
 from tremora.streaming.ledger import Ledger
 
@@ -165,7 +166,8 @@ def update_recommendations(scored: DataFrame, batch_id: int, pairs: Ledger, pool
     touched = pairs.of_batch(batch_id).select("event_id").distinct()
     buckets = [r.b for r in touched.select(pairs.bucket().alias("b")).distinct().collect()]
     known = pairs.latest(batch_id + 1, buckets).join(touched, "event_id", "left_semi")
-    top = districts.top_districts(known)
+    # ten rows per touched event, written once as they serve twice
+    top = written(districts.top_districts(known), "top-districts")
     # an event that lost its last facility in reach leaves one empty row, which hides older ones
     table.append(touched.join(recommend.assignments(top, pool), "event_id", "left"), batch_id)
     rows = table.of_batch(batch_id).where(F.col("district_key").isNotNull())
