@@ -119,7 +119,7 @@ spans AS (
          max(b.hi) - min(b.lo) + 1 AS width, count(*) FILTER (b.n = b.total) AS n_exact,
          min(b.diagonal) FILTER (b.n = b.total) AS first_exact,
          max(b.diagonal) FILTER (b.n = b.total) AS last_exact
-  FROM blocks b GROUP BY ALL),
+  FROM blocks b GROUP BY b.doc_id, b.template, b.label, b.base, b.total, b.block),
 shares AS (
   SELECT s.*, greatest(s.best, CASE WHEN s.width <= 2 * s.total + {licenses.NEIGHBOURS}
          THEN h.together ELSE 0 END)::DOUBLE / s.total AS share
