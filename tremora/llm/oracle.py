@@ -104,7 +104,7 @@ found AS (
 lines AS (
   SELECT doc_id, template, label, base, total, diagonal, count(*) AS n,
          diagonal + min(t_place) AS lo, diagonal + max(t_place) AS hi
-  FROM found GROUP BY ALL),
+  FROM found GROUP BY doc_id, template, label, base, total, diagonal),
 steps AS (
   SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template
             ORDER BY diagonal) <= {licenses.NEIGHBOURS} THEN 0 ELSE 1 END AS step FROM lines),

@@ -11,8 +11,10 @@ segment, and the exact method runs on segments:
   walks the interval tree; each interval of ``length`` bytes and more is a repeat with all its
   occurrences, and is maximal if the bytes before them differ. Maximal repeats cover every
   repeated string.
-* A gram with more than ``GROUP`` contents is not put into one task: the digests of its strings are
-  counted instead, combined within each task first.
+* A gram with more than ``GROUP`` contents is not put into one task. Its segments are cut into slices
+  of starts, at the same places around the gram, and the bytes that all strings of a slice hold
+  are its narrower key; equal slices are one content again. What is still crowded is cut into
+  narrower slices, down to single strings, where equal contents are all there is to find.
 
 Defined cases: a null text is empty; texts shorter than ``length`` have no strings; matches never
 cross documents, as segments do not; repeated rows are copies of each other, and are told apart
@@ -36,7 +38,9 @@ LENGTH = 400
 #: Bytes of a minimizer.
 GRAM = 128
 #: Contents of a gram that one suffix array takes.
-GROUP = 256
+GROUP = 128
+#: Starts of a slice, from one round to the next.
+WIDTHS = (64, 8, 1)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -65,12 +69,12 @@ def gram_hashes(raw: np.ndarray, gram: int) -> np.ndarray:
 
 
 def segments(raw: np.ndarray, length: int = LENGTH,
-             gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(hash of the gram, first start, start after the last)`` of every segment of a text."""
+             gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """``(hash of the gram, its place, first start, start after the last)`` of a text's segments."""
     window = length - gram + 1
     starts = len(raw) - length + 1
     if starts < 1:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return (np.zeros(0, np.int64),) * 4
     hashes = gram_hashes(raw, gram)
     # the leftmost of equal hashes: which one that is depends on the window's bytes alone
     ranked = (hashes & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(hashes), dtype=np.uint64)
@@ -82,7 +86,7 @@ def segments(raw: np.ndarray, length: int = LENGTH,
     place = np.minimum(behind[:starts], ahead[window - 1:window - 1 + starts])
     place = (place & np.uint64(0xFFFFFFFF)).astype(np.int64)
     first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-    return hashes[place[first]].view(np.int64), first, np.r_[first[1:], starts]
+    return hashes[place[first]].view(np.int64), place[first], first, np.r_[first[1:], starts]
 
 
 def common_prefix(a: bytes, b: bytes) -> int:
@@ -174,8 +178,8 @@ def _same(left: DataFrame, right: DataFrame):
 
 
 def segment_table(rows: DataFrame, length: int, gram: int) -> DataFrame:
-    """``doc_id, key, gram, content, start, stop`` of every segment of every text; starts from
-    ``start`` to before ``stop``, ``content`` the digest of the bytes."""
+    """``doc_id, key, gram, content, place, start, stop`` of every segment of every text; strings
+    start from ``start`` to before ``stop``, ``content`` is the digest of the bytes."""
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -183,20 +187,21 @@ def segment_table(rows: DataFrame, length: int, gram: int) -> DataFrame:
             origin, parts, digests = [], [], []
             for row, text in enumerate(batch.column(2).to_pylist()):
                 data = text.encode()
-                grams, first, after = segments(np.frombuffer(data, np.uint8), length, gram)
+                grams, place, first, after = segments(np.frombuffer(data, np.uint8), length, gram)
                 origin.append(np.full(len(grams), row))
-                parts.append((grams, first, after))
+                parts.append((grams, place, first, after))
                 digests += [hashlib.blake2b(data[a:b - 1 + length], digest_size=16).digest()
                             for a, b in zip(first.tolist(), after.tolist())]
             owner = batch.take(pa.array(np.concatenate(origin)))
-            grams, first, after = (np.concatenate(p) for p in zip(*parts))
+            grams, place, first, after = (np.concatenate(p) for p in zip(*parts))
             yield pa.RecordBatch.from_arrays(
                 [owner.column(0), owner.column(1), pa.array(grams), pa.array(digests, pa.binary()),
-                 pa.array(first.astype(np.int32)), pa.array(after.astype(np.int32))],
-                ["doc_id", "key", "gram", "content", "start", "stop"])
+                 *(pa.array(x.astype(np.int32)) for x in (place, first, after))],
+                ["doc_id", "key", "gram", "content", "place", "start", "stop"])
 
     return rows.select("doc_id", "key", "text").mapInArrow(
-        run, f"doc_id {kind}, key bigint, gram bigint, content binary, start int, stop int")
+        run, f"doc_id {kind}, key bigint, gram bigint, content binary, place int, "
+             "start int, stop int")
 
 
 def _bytes_of(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -252,50 +257,72 @@ def repeat_groups(members: DataFrame, length: int = LENGTH, ranges: bool = False
         occurrences, f"gram bigint, repeat int, size int, doc_id {kind}, start int")
 
 
-def _counted(members: DataFrame, length: int) -> DataFrame:
-    """For grams of many contents: the strings whose digest occurs again, as ranges."""
+def slices(members: DataFrame, width: int, length: int) -> DataFrame:
+    """Segments cut into slices of ``width`` starts, counted from the gram's place: the columns of
+    ``segment_table`` and ``data``, with a narrower ``gram``."""
     kind = members.schema["doc_id"].dataType.simpleString()
+    types = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+    names = ["gram", "content", "place", "start", "stop", "data"]
 
     def run(batches):
         for batch in batches:
-            for row in range(batch.num_rows):
-                one = batch.slice(row, 1)
-                a, b, data = (one.column(c)[0].as_py() for c in (2, 3, 4))
-                owner = one.take(pa.array(np.zeros(b - a, np.int64)))
-                yield pa.RecordBatch.from_arrays(
-                    [owner.column(0), owner.column(1), pa.array(np.arange(a, b, dtype=np.int32)),
-                     pa.array([hashlib.blake2b(data[k:k + length], digest_size=16).digest()
-                               for k in range(b - a)], pa.binary())],
-                    ["doc_id", "key", "first", "digest"])
-
-    strings = members.select("doc_id", "key", "start", "stop", "data").mapInArrow(
-        run, f"doc_id {kind}, key bigint, first int, digest binary")
-    again = strings.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return strings.join(again, "digest").select("doc_id", "key", "first",
-                                                (F.col("first") + length).alias("after"))
+            origin, out = [], []
+            rows = zip(*(batch.column(k).to_pylist() for k in range(2, 7)))
+            for row, (gram, place, start, stop, data) in enumerate(rows):
+                for number in range((start - place) // width, (stop - 1 - place) // width + 1):
+                    first = place + number * width
+                    a, b = max(start, first), min(stop, first + width)
+                    # in every string that starts in this slice
+                    core = data[first + width - 1 - start:first + length - start]
+                    mark = hashlib.blake2b(core, digest_size=8, key=f"{gram},{number}".encode())
+                    part = data[a - start:b - 1 + length - start]
+                    origin.append(row)
+                    out.append((int.from_bytes(mark.digest(), "little", signed=True),
+                                hashlib.blake2b(part, digest_size=16).digest(), place, a, b, part))
+            owner = batch.take(pa.array(origin, pa.int32()))
+            yield pa.RecordBatch.from_arrays(
+                [owner.column(0), owner.column(1)] + [pa.array([r[k] for r in out], t)
+                                                      for k, t in enumerate(types)],
+                ["doc_id", "key", *names])
 
+    return members.select("doc_id", "key", "gram", "place", "start", "stop", "data").mapInArrow(
+        run, f"doc_id {kind}, key bigint, gram bigint, content binary, place int, start int, "
+             "stop int, data binary")
 
-def repeated_ranges(rows: DataFrame, length: int = LENGTH, gram: int = GRAM,
-                    group: int = GROUP) -> DataFrame:
-    """``doc_id, key, first, after``: ranges of bytes that together are all repeated bytes."""
-    cut = written(segment_table(rows, length, gram), "segments")
+
+def _contents(cut: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """Of segments: the ranges that copies of whole segments cover, and one segment for each of
+    the different contents of a gram, with the gram's number of ``contents``."""
     heavy = cut.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("content").alias("lo"),
                                     F.max("content").alias("hi")).where("n > 1")
     shared = written(cut.join(heavy.select("gram", (F.col("lo") != F.col("hi")).alias("mixed")),
                               "gram"), "shared-segments")
-    contents = shared.groupBy("gram", "content", "mixed").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "key", "start", "stop")).alias("at"))
-    contents = written(contents.select("gram", "content", "mixed", "n", "at.*"), "contents")
+    one = F.struct("doc_id", "key", *[c for c in cut.columns if c in ("place", "start", "stop",
+                                                                      "data")])
+    contents = written(shared.groupBy("gram", "content", "mixed").agg(
+        F.count(F.lit(1)).alias("n"), F.min(one).alias("at")).select(
+        "gram", "content", "mixed", "n", "at.*"), "contents")
     copies = shared.join(contents.where("n > 1").select("gram", "content"), ["gram", "content"])
     whole = copies.select("doc_id", "key", F.col("start").alias("first"),
                           (F.col("stop") - 1 + length).alias("after"))
     mixed = contents.where("mixed")
     sizes = mixed.groupBy("gram").agg(F.count(F.lit(1)).alias("contents"))
-    members = written(_bytes_of(rows, mixed.join(sizes, "gram").select(
-        "doc_id", "key", "gram", "start", "stop", "contents"), length), "members")
-    few = repeat_groups(members.where(F.col("contents") <= group), length, ranges=True)
-    many = _counted(members.where(F.col("contents") > group), length)
-    return whole.union(few).union(many)
+    return whole, mixed.drop("content", "mixed", "n").join(sizes, "gram")
+
+
+def repeated_ranges(rows: DataFrame, length: int = LENGTH, gram: int = GRAM,
+                    group: int = GROUP) -> DataFrame:
+    """``doc_id, key, first, after``: ranges of bytes that together are all repeated bytes."""
+    found, mixed = _contents(written(segment_table(rows, length, gram), "segments"), length)
+    members = written(_bytes_of(rows, mixed, length), "members")
+    for width in WIDTHS:
+        found = found.union(repeat_groups(members.where(F.col("contents") <= group), length, True))
+        crowded = members.where(F.col("contents") > group)
+        if crowded.isEmpty():
+            return found
+        whole, members = _contents(slices(crowded, width, length), length)
+        found = found.union(whole)
+    return found  # of slices of one start only equal ones match
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP,
