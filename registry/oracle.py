@@ -416,6 +416,7 @@ def all_sql() -> dict[str, str]:
             SELECT event_id FROM fx_event
             WHERE event_id NOT IN (SELECT event_id FROM assigned)""",
         "scored_feed": sql("scored", scored),
+        "late_event_feed": sql("scored", "event_id province_key district_key"),
         "stream_dedup": _with(("fx_report",)) + """
             SELECT DISTINCT event_id FROM fx_report WHERE magnitude >= 3.0""",
         "live_risk_upsert": sql("arrival_live", LIVE_COLUMNS,

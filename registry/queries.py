@@ -388,6 +388,22 @@ def scored_feed(spark, sf):
     return shown(feeds.decode(read, schemas.SCORED))
 
 
+def late_event_feed(spark, sf):
+    """The first arrival has a clock in the future, the third is an hour late; none may be lost."""
+    places = derived.districts(spark, sf)
+    out, state = new_folder(spark, "scored"), new_folder(spark, "state")
+    part = F.col("feed_id") % 3
+    late = events(spark, sf).withColumn("event_time", F.when(part == 0, "2030-01-01T00:00:00").when(
+        part == 1, "2024-01-01T12:00:00").otherwise("2024-01-01T11:00:00"))
+
+    def start(folder):
+        return jobs.score_job(_raw_stream(spark, folder), places, "parquet", {"path": out},
+                              state, NOW)
+    _arrivals(_as_feed(late, ("feed_id",)), part, start)
+    read = spark.read.schema(feeds.KEY_VALUE).parquet(out)
+    return _pick(feeds.decode(read, schemas.SCORED), "event_id province_key district_key")
+
+
 def stream_dedup(spark, sf):
     """Reports of one quake arrive minutes apart, in three parts."""
     minute = F.regexp_extract("event_id", r"EVT(\d+)", 1).cast("long") % 5
@@ -472,6 +488,6 @@ QUERIES = {f.__name__: f for f in (
     min_max_scaled, facility_pool, facility_access, facility_event_impact, facility_safety,
     eligible_facilities, facility_activation_rank, facility_rankings, top_facilities,
     nearest_facility_assignment, assignment_summary, logistics_recommendations, map_export,
-    skipped_events, scored_feed, stream_dedup, live_risk_upsert, risk_change_feed,
+    skipped_events, scored_feed, late_event_feed, stream_dedup, live_risk_upsert, risk_change_feed,
     recommendation_upsert, recommendation_feed, risk_level_thresholds, risk_decay,
 )}

@@ -114,6 +114,9 @@ def test_missing_events_are_reported(spark):
 
 def test_worst_case_from_events_equals_worst_case_from_pairs(spark):
     events, table = events_df(spark, 40), districts_df(spark, 50)
+    # a district without coordinates has no impact, but stays
+    table = table.withColumn("latitude", F.when(F.col("district_key") != table.first(
+        ).district_key, F.col("latitude")))
     events = events.unionByName(events.withColumn("event_id", F.concat("event_id", F.lit("b"))))
     columns = ["province_key", "district_key", "province", "district", "live_event_impact_score",
                "baseline_risk_score", "dynamic_priority_score", "triggering_event_id",
@@ -311,6 +314,14 @@ def test_zero_weights_and_events_out_of_reach(spark, world):
     assert rows(recommend.skipped_events(top, recommended)) == [("calm",)]
 
 
+def test_facility_ids_must_be_unique(spark):
+    twice = spark.createDataFrame(brute.pois(60), schemas.POI)
+    twice = twice.unionByName(twice.withColumn("latitude", F.col("latitude") + 2).withColumn(
+        "isim", F.concat("isim", F.lit(" x"))))
+    with pytest.raises(ValueError, match="facility ids"):
+        build_pool(twice, spark.createDataFrame(risk_rows(), schemas.RISK))
+
+
 def test_pairs_of_events_and_facilities_are_not_shuffled(spark, world):
     events, table, pool, _ = world
     plan = recommend.recommend(events, table, pool)

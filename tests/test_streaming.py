@@ -98,6 +98,47 @@ def test_an_event_spread_over_batches_gets_its_true_top_ten(spark, tmp_path, sco
     assert got.key == f"{got.event_id}:{got.facility_id}"
 
 
+def test_pairs_that_arrive_twice_count_once(spark, tmp_path, scored, pool):
+    pairs = jobs.scored_table(spark, str(tmp_path / "pairs"))
+    table = jobs.recommendation_table(spark, str(tmp_path / "table"))
+    publish = jobs.folder_feed(str(tmp_path / "feed"))
+    jobs.update_recommendations(scored.union(scored), 0, pairs, pool, table, publish)
+    whole = recommend.assignments(districts.top_districts(scored), pool)
+    columns = ["event_id", "district_key", "facility_id", "district_priority_rank"]
+    assert rows(jobs.current_recommendations(table), *columns) == rows(whole, *columns)
+
+
+def test_score_job_keeps_late_events(spark, tmp_path):
+    raw, out, state = (str(tmp_path / x) for x in ("raw", "out", "state"))
+    table = districts_df(spark, 3)
+    times = [("A", "10:00"), ("B", "12:00"), ("C", "12:01"), ("LATE", "11:00"), ("D", "12:02")]
+    for name, clock in times:
+        one = events_df(spark, 1).withColumn("event_id", F.lit(name)).withColumn(
+            "event_time", F.lit(f"2024-01-01T{clock}:00"))
+        feeds.encode(one, F.col("event_id")).write.mode("append").parquet(raw)
+        jobs.score_job(feeds.read_stream(spark, "parquet", {"path": raw}), table, "parquet",
+                       {"path": out}, state, NOW).awaitTermination()
+    got = feeds.decode(spark.read.schema(feeds.KEY_VALUE).parquet(out), schemas.SCORED)
+    assert rows(got.select("event_id").distinct()) == sorted((name,) for name, _ in times)
+    assert got.count() == 15
+
+
+def test_text_that_is_no_score_goes_to_quarantine(spark, tmp_path, scored):
+    raw, out, bad = (str(tmp_path / x) for x in ("raw", "out", "bad"))
+    good = feeds.encode(scored.limit(5), F.col("event_id"))
+    broken = spark.createDataFrame([("k", "not json"), (None, '{"event_id":"X"}')],
+                                   feeds.KEY_VALUE)
+    good.unionByName(broken).write.parquet(raw)
+    stream = jobs.scored_feed_stream(spark, "parquet", {"path": raw})
+    (stream.writeStream.format("parquet").option("path", out)
+     .option("checkpointLocation", str(tmp_path / "s1")).trigger(**NOW).start()
+     .awaitTermination())
+    assert spark.read.schema(schemas.SCORED).parquet(out).count() == 5
+    jobs.scored_quarantine_job(spark, "parquet", {"path": raw}, "parquet", {"path": bad},
+                               str(tmp_path / "s2"), NOW).awaitTermination()
+    assert {r.text for r in spark.read.parquet(bad).collect()} == {"not json", '{"event_id":"X"}'}
+
+
 def test_an_event_that_loses_its_facilities_is_emptied(spark, tmp_path, scored, pool):
     pairs = jobs.scored_table(spark, str(tmp_path / "pairs"))
     table = jobs.recommendation_table(spark, str(tmp_path / "table"))
@@ -119,7 +160,7 @@ def test_score_job_drops_repeats_and_restarts(spark, tmp_path):
 
     def run():
         jobs.score_job(feeds.read_stream(spark, "parquet", {"path": raw}), table, "parquet",
-                       {"path": out}, state, NOW).awaitTermination()
+                       {"path": out}, state, NOW, drop_repeats=True).awaitTermination()
     sent.where("key < 'E5'").unionByName(broken).write.mode("append").parquet(raw)
     run()
     sent.write.mode("append").parquet(raw)  # repeats five events

@@ -1,7 +1,5 @@
 """Comparison keys for names."""
 
-import unicodedata
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,7 +14,7 @@ _NEEDS_NFKC = r"[^\x00-\x7FçÇğĞıİöÖşŞüÜâÂîÎûÛ]"
 
 @F.pandas_udf(T.StringType())
 def _lower_nfkc(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t.lower()))
+    return text.str.lower().str.normalize("NFKC")
 
 
 def strip(text: Column) -> Column:

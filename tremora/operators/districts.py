@@ -36,7 +36,7 @@ def rank_districts_of_events(events: DataFrame, districts: DataFrame,
                           bounded=fits_broadcast(districts, rows))
 
 
-def _first_ten(pairs: DataFrame, top: int) -> DataFrame:
+def _first_ten(rated: DataFrame, top: int) -> DataFrame:
     """Ten rows per event, with their position and dense rank.
 
     Spark cuts to ``top`` rows per event inside each map task, so nothing but the winners moves.
@@ -44,9 +44,8 @@ def _first_ten(pairs: DataFrame, top: int) -> DataFrame:
     """
     per_event = W.partitionBy("event_id")
     return (
-        pairs.where(F.col("dynamic_priority_score").isNotNull())
-        .withColumn("district_order",
-                    F.row_number().over(per_event.orderBy(*priority_order())))
+        rated.withColumn("district_order",
+                         F.row_number().over(per_event.orderBy(*priority_order())))
         .where(F.col("district_order") <= top)
         .withColumn("event_priority_rank", F.dense_rank().over(
             per_event.orderBy(F.desc("dynamic_priority_score"))))
@@ -56,7 +55,7 @@ def _first_ten(pairs: DataFrame, top: int) -> DataFrame:
 
 def top_districts(scored: DataFrame, top: int = fixed.TOP_DISTRICTS) -> DataFrame:
     """The first ten districts of each event, from a table of scored pairs."""
-    return _first_ten(scored, top)
+    return _first_ten(scored.where(F.col("dynamic_priority_score").isNotNull()), top)
 
 
 def top_districts_of_events(events: DataFrame, districts: DataFrame,
@@ -77,8 +76,8 @@ def top_districts_of_events(events: DataFrame, districts: DataFrame,
     # the slack covers rounding: an impact can exceed the strength by a few units in last place
     reachable = scores.dynamic_priority(F.col("event_strength") + 1e-6,
                                         F.col("final_risk_score")) >= F.col("_bound")
-    # both tests in one condition, the cheap one first: a filter set on top of the join would be
-    # pushed in front of it, and compute every distance
+    # both tests in one condition, the cheap one first, and no filter for nulls (which fail both
+    # tests) on top of the join: it would be pushed in front, and compute every distance
     exact = scores.dynamic_priority(scores.impact(F.col("event_strength"), impact.distance()),
                                     F.col("final_risk_score")) >= F.col("_bound")
     pairs = theta_join(impact.spread(impact.event_side(events)), side, reachable & exact,

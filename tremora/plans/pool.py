@@ -1,12 +1,21 @@
 """The facility pool: all that can be said about facilities before any event."""
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tremora import fixed
 from tremora.operators import enrich, facilities
 from tremora.session import written
 
 
+def require_unique_ids(pool: DataFrame) -> None:
+    """Raise if two facilities share an id: one would get the surroundings of the other."""
+    places = F.count_distinct("latitude", "longitude")
+    shared = pool.groupBy("id").agg(places.alias("n")).where("n > 1").select("id").take(5)
+    if shared:
+        raise ValueError(f"facility ids that are not unique: {[r.id for r in shared]}")
+
+
 def build_pool(pois: DataFrame, risk: DataFrame, nfkc: bool = True,
                rows: int = fixed.BROADCAST_ROWS) -> DataFrame:
     """Prepared, enriched facilities. Build once, keep as a table, use for every event.
@@ -16,6 +25,7 @@ def build_pool(pois: DataFrame, risk: DataFrame, nfkc: bool = True,
     figures (means, medians, extremes) are taken from files and not from a rerun.
     """
     prepared = written(facilities.prepare(pois, risk, nfkc), "facilities")
+    require_unique_ids(prepared)
     around = enrich.with_multimodal(enrich.with_local_support(prepared, pois, rows), rows)
     around = written(around, "surroundings")
     scaled = enrich.min_max(around, "local_support_raw", "local_support_score")

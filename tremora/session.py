@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors see: the cluster's ``spark.checkpoint.dir``.
 
-    Only where a session names none (tests, local mode) is a local folder made and set.
+    Only where a session on a local master names none (tests) is a local folder made and set; on a
+    cluster each executor would write to a disk of its own, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tremora-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

@@ -3,7 +3,7 @@
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -45,9 +45,13 @@ def decoded_events(raw: DataFrame) -> DataFrame:
     return feeds.decode(raw, schemas.EVENT)
 
 
-def scored_stream(raw: DataFrame, district_table: DataFrame, drop_repeats: bool = True
+def scored_stream(raw: DataFrame, district_table: DataFrame, drop_repeats: bool = False
                   ) -> DataFrame:
-    """Raw (key, value) stream to scored pairs, in the very operators of the batch job."""
+    """Raw (key, value) stream to scored pairs, in the very operators of the batch job.
+
+    Late events are scored like any other. With ``drop_repeats`` re-sent events go, but so do
+    events older than the watermark: use it only where the feed is in order.
+    """
     events = ingest.with_event_time(ingest.valid(decoded_events(raw)))
     if drop_repeats:
         events = ingest.drop_repeats(events)
@@ -55,8 +59,9 @@ def scored_stream(raw: DataFrame, district_table: DataFrame, drop_repeats: bool
 
 
 def score_job(raw: DataFrame, district_table: DataFrame, fmt: str, options: dict[str, str],
-              checkpoint: str, trigger: dict = SCORE_TRIGGER) -> StreamingQuery:
-    pairs = scored_stream(raw, district_table)
+              checkpoint: str, trigger: dict = SCORE_TRIGGER, drop_repeats: bool = False
+              ) -> StreamingQuery:
+    pairs = scored_stream(raw, district_table, drop_repeats)
     out = feeds.encode(pairs, F.col("district_key"))
     return feeds.append_stream(out, fmt, options, checkpoint, trigger).start()
 
@@ -102,11 +107,12 @@ def update_live_risk(scored: DataFrame, batch_id: int, table: Ledger, publish: P
 
 
 def risk_job(scored: DataFrame, table: Ledger, publish: Publish, checkpoint: str,
-             trigger: dict = RISK_TRIGGER, compact_every: int = COMPACT_EVERY
-             ) -> StreamingQuery:
-    """``scored`` is the decoded stream of job 1's feed."""
+             trigger: dict = RISK_TRIGGER, compact_every: int = COMPACT_EVERY,
+             steps=fixed.RISK_LEVEL_STEPS) -> StreamingQuery:
+    """``scored`` is the decoded stream of job 1's feed; ``steps`` the limits of the risk levels,
+    as ``risk.steps_of`` takes them from a district table."""
     def step(batch: DataFrame, batch_id: int) -> None:
-        update_live_risk(batch, batch_id, table, publish)
+        update_live_risk(batch, batch_id, table, publish, steps)
         table.compact_every(compact_every, batch_id)
     return (scored.writeStream.foreachBatch(step)
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())
@@ -162,7 +168,8 @@ def update_recommendations(scored: DataFrame, batch_id: int, pairs: Ledger, pool
     """
     if scored.isEmpty():
         return
-    pairs.append(scored, batch_id)
+    # a source may deliver a pair twice; two rows of one pair would both be its last
+    pairs.append(scored.dropDuplicates(list(pairs.keys)), batch_id)
     touched = pairs.of_batch(batch_id).select("event_id").distinct()
     buckets = [r.b for r in touched.select(pairs.bucket().alias("b")).distinct().collect()]
     known = pairs.latest(batch_id + 1, buckets).join(touched, "event_id", "left_semi")
@@ -188,5 +195,31 @@ def recommend_job(scored: DataFrame, pairs: Ledger, pool: DataFrame, table: Ledg
 
 def scored_feed_stream(spark: SparkSession, fmt: str, options: dict[str, str]) -> DataFrame:
     """Job 1's feed as typed rows, the input of jobs 2 and 3."""
-    schema = None if fmt == "kafka" else feeds.KEY_VALUE
-    return feeds.decode(feeds.read_stream(spark, fmt, options, schema), schemas.SCORED)
+    return usable_scores(feeds.decode(_feed_stream(spark, fmt, options), schemas.SCORED))
+
+
+def scored_quarantine_job(spark: SparkSession, source: str, source_options: dict[str, str],
+                          fmt: str, options: dict[str, str], checkpoint: str,
+                          trigger: dict = RISK_TRIGGER) -> StreamingQuery:
+    """The messages of job 1's feed that jobs 2 and 3 leave out, with their text."""
+    raw = _feed_stream(spark, source, source_options).withColumn(
+        "text", F.col("value").cast("string"))
+    parsed = feeds.decode(raw, schemas.SCORED, keep=("text",))
+    return feeds.append_stream(parsed.where(~_is_scored()).select("text"), fmt, options,
+                               checkpoint, trigger).start()
+
+
+def usable_scores(scored: DataFrame) -> DataFrame:
+    """Rows with all their keys; what could not be decoded has none."""
+    return scored.where(_is_scored())
+
+
+def _is_scored() -> Column:
+    test = F.lit(True)
+    for name in ("event_id", "province_key", "district_key"):
+        test = test & F.col(name).isNotNull()
+    return test
+
+
+def _feed_stream(spark: SparkSession, fmt: str, options: dict[str, str]) -> DataFrame:
+    return feeds.read_stream(spark, fmt, options, None if fmt == "kafka" else feeds.KEY_VALUE)
