@@ -47,7 +47,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_WORDS = Memo(xxhash.xxh3_64_intdigest, 150_000)
+_WORDS = Memo(xxhash.xxh3_64_intdigest, 100_000)
 
 
 def shingles(text: str) -> np.ndarray:

@@ -49,7 +49,7 @@ class ByteTokenizer:
         else:
             self.word = self._library
         self.first = Memo(lambda w: self._word(w, w), 20_000)
-        self.words = Memo(lambda w: self._word(w, " " + w), 150_000)
+        self.words = Memo(lambda w: self._word(w, " " + w), 100_000)
 
     def _library(self, text: str) -> list[int]:
         return self.tool.encode(text, add_special_tokens=False).ids

@@ -199,7 +199,7 @@ def _places(machine: Machine) -> tuple[dict[int, int], Memo]:
     if not _PLACES or _PLACES[0] is not machine:
         known = {int(t) & ((1 << HASH_BITS) - 1) for t in machine.terms}
         _PLACES[:] = [machine, {int(t): k for k, t in enumerate(machine.terms)},
-                      Memo(lambda word: tuple(b for b in buckets(word) if b in known), 150_000)]
+                      Memo(lambda word: tuple(b for b in buckets(word) if b in known), 100_000)]
     return _PLACES[1], _PLACES[2]
 
 
