@@ -136,8 +136,8 @@ def token_pieces(docs: DataFrame, path: str, end_id: int, capacity: int = 2048,
                     for col, value in zip(cols, (at // 4, len(piece) // 4, zlib.crc32(piece),
                                                  len(data) // 4, piece)):
                         col.append(value)
-            taken = batch.take(pa.array(origin, pa.int32()))
-            arrays = [taken.column(0), taken.column(2)] + [pa.array(c, pa.int64())
+            taken = batch.select(["doc_id", "part"]).take(pa.array(origin, pa.int32()))
+            arrays = [taken.column(0), taken.column(1)] + [pa.array(c, pa.int64())
                                                            for c in cols[:4]]
             if with_ids:
                 arrays.append(pa.array([np.frombuffer(p, "<u4").astype(np.int32)

@@ -192,7 +192,7 @@ def segment_table(rows: DataFrame, length: int, gram: int) -> DataFrame:
                 parts.append((grams, place, first, after))
                 digests += [hashlib.blake2b(data[a:b - 1 + length], digest_size=16).digest()
                             for a, b in zip(first.tolist(), after.tolist())]
-            owner = batch.take(pa.array(np.concatenate(origin)))
+            owner = batch.select(["doc_id", "key"]).take(pa.array(np.concatenate(origin)))
             grams, place, first, after = (np.concatenate(p) for p in zip(*parts))
             yield pa.RecordBatch.from_arrays(
                 [owner.column(0), owner.column(1), pa.array(grams), pa.array(digests, pa.binary()),
@@ -279,7 +279,7 @@ def slices(members: DataFrame, width: int, length: int) -> DataFrame:
                     origin.append(row)
                     out.append((int.from_bytes(mark.digest(), "little", signed=True),
                                 hashlib.blake2b(part, digest_size=16).digest(), place, a, b, part))
-            owner = batch.take(pa.array(origin, pa.int32()))
+            owner = batch.select(["doc_id", "key"]).take(pa.array(origin, pa.int32()))
             yield pa.RecordBatch.from_arrays(
                 [owner.column(0), owner.column(1)] + [pa.array([r[k] for r in out], t)
                                                       for k, t in enumerate(types)],
