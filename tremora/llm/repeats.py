@@ -71,6 +71,7 @@ def gram_hashes(raw: np.ndarray, gram: int) -> np.ndarray:
 def segments(raw: np.ndarray, length: int = LENGTH,
              gram: int = GRAM) -> tuple[np.ndarray, ...]:
     """``(hash of the gram, its place, first start, start after the last)`` of a text's segments."""
+    gram = min(gram, max(1, length // 2))  # shorter strings have shorter grams
     window = length - gram + 1
     starts = len(raw) - length + 1
     if starts < 1:
