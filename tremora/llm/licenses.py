@@ -21,9 +21,14 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from tremora.llm.common import row_key, texts
+from tremora.session import written
 
 RUN = 3
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same words, as a list of what they hold: Java matches that far faster than what they lack.
+WORD = r"[A-Za-z0-9\x{80}-\x{10FFFF}]+"
+GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: A place where a word begins, and the run from there on.
+STARTS = r"(?<![^ ])(?=([^ ]+" + r" [^ ]+" * (RUN - 1) + "))"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # The phrases whose verbatim places are counted, with their labels.
@@ -56,16 +61,13 @@ NEIGHBOURS = 3
 MIN_SHARE = 0.8
 
 
-def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(WORD), F.lit(0))
+def word_count(text: Column) -> Column:
+    return F.size(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))).cast("long")
 
 
-def _runs(words: Column) -> Column:
-    """Hashes of all runs of words, in order; empty for shorter texts."""
-    last = F.size(words) - RUN + 1
-    hashed = F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda k: F.xxhash64(
-        *[F.try_element_at(words, k + j) for j in range(RUN)]))
-    return F.when(last >= 1, hashed).otherwise(F.array().cast("array<bigint>"))
+def _runs(text: Column) -> Column:
+    """All runs of words, in order, one space between words; empty for shorter texts."""
+    return F.regexp_extract_all(F.regexp_replace(text, GAP, " "), F.lit(STARTS), F.lit(1))
 
 
 def template_runs(spark: SparkSession, templates: list[tuple[str, str, bool]]) -> DataFrame:
@@ -75,25 +77,28 @@ def template_runs(spark: SparkSession, templates: list[tuple[str, str, bool]]) -
         words = text.split()
         if len(words) < RUN:
             raise ValueError(f"a template of fewer than {RUN} words: {text!r}")
-        rows += [(number, label, base, k, len(words) - RUN + 1, words[k:k + RUN])
+        rows += [(number, label, base, k, len(words) - RUN + 1,
+                  " ".join(words[k:k + RUN]))
                  for k in range(len(words) - RUN + 1)]
     schema = T.StructType([
         T.StructField("template", T.IntegerType()), T.StructField("label", T.StringType()),
         T.StructField("base", T.BooleanType()), T.StructField("t_place", T.IntegerType()),
         T.StructField("t_runs", T.IntegerType()),
-        T.StructField("t_words", T.ArrayType(T.StringType()))])
-    return spark.createDataFrame(rows, schema).withColumn(
-        "run", F.xxhash64(*[F.col("t_words")[j] for j in range(RUN)]))
+        T.StructField("t_words", T.StringType())])
+    return spark.createDataFrame(rows, schema).withColumn("run", F.xxhash64("t_words"))
 
 
 def votes(docs: DataFrame, templates: DataFrame) -> DataFrame:
     """``doc_id, __key, template, label, base, t_runs, diagonal, t_place``: one row per run found."""
-    runs = docs.select("doc_id", "__key", words_of(F.col("text")).alias("words")).select(
-        "doc_id", "__key", "words", F.posexplode(_runs(F.col("words"))).alias("place", "run"))
-    same = F.slice("words", F.col("place") + 1, RUN) == F.col("t_words")
-    return (runs.join(F.broadcast(templates), "run").where(same)
-            .select("doc_id", "__key", "template", "label", "base", "t_runs",
-                    (F.col("place") - F.col("t_place")).alias("diagonal"), "t_place").distinct())
+    # lower() also changes letters outside ASCII: it finds the hits, the exact rule confirms them.
+    # The hits are written once, as the corpus would else be scanned for each use of them.
+    runs = docs.select("doc_id", "__key", F.posexplode(_runs(F.col("text"))).alias(
+        "place", "words")).withColumn("run", F.xxhash64(F.lower("words")))
+    hits = written(runs.join(F.broadcast(templates), "run").drop("run"), "license-hits")
+    same = F.translate("words", UPPER, LOWER) == F.col("t_words")
+    return hits.where(same).select(
+        "doc_id", "__key", "template", "label", "base", "t_runs",
+        (F.col("place") - F.col("t_place")).alias("diagonal"), "t_place").distinct()
 
 
 def spans(found: DataFrame, neighbours: int = NEIGHBOURS) -> DataFrame:
@@ -157,8 +162,7 @@ def scan(docs: DataFrame, phrases=None, notices=None, min_share: float = MIN_SHA
         F.max(F.when(base, F.col("last_exact"))).alias("last_word"),
         listed(exact).alias("base_labels"), listed(exact | (F.col("share") >= min_share)).alias(
             "labels"), F.max("share").alias("score"))
-    counted = rows.select("doc_id", "__key", F.size(words_of(F.col("text"))).cast("long").alias(
-        "n_words"))
+    counted = rows.select("doc_id", "__key", word_count(F.col("text")).alias("n_words"))
     return counted.join(report, F.col("doc_id").eqNullSafe(F.col("d_id"))
                         & (F.col("__key") == F.col("d_key")), "left").select(
         "doc_id", "n_words", F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"),
