@@ -5,8 +5,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows per Arrow batch: a batch of very long texts must fit into a Python worker.
+#: Rows and bytes per Arrow batch: a batch of very long texts must fit into a Python worker.
 BATCH_ROWS = 256
+BATCH_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,10 +15,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Lower (never raise) the rows that Spark hands to Python at once."""
+    """Lower (never raise) the rows and bytes that Spark hands to Python at once."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= rows:
         spark.conf.set(key, str(rows))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key)
+    if not now.removesuffix("b").isdigit() or int(now.removesuffix("b")) > BATCH_BYTES:
+        spark.conf.set(key, f"{BATCH_BYTES}b")
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -141,5 +141,90 @@ SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(r.n_base, 0)::BIGINT AS n
 FROM words w LEFT JOIN report r ON r.doc_id = w.doc_id
 """
 
+
+
+def _k_means(rounds: int = 3, k: int = 16, dims: int = 64, scale: int = 64) -> str:
+    """Rounds of assignment and floored means, in long form: a row per vector and component."""
+    steps, last = [], "start"
+    for n in range(rounds + 1):
+        steps.append(f"""
+near{n} AS (
+  SELECT r, c, d FROM (
+    SELECT r, c, d, row_number() OVER (PARTITION BY r ORDER BY d, c) AS n FROM (
+      SELECT x.r, z.c, sum((x.v - z.v) * (x.v - z.v))::BIGINT AS d
+      FROM comps x JOIN {last} z ON z.i = x.i GROUP BY x.r, z.c)) WHERE n = 1)""")
+        if n < rounds:
+            steps.append(f"""
+means{n} AS (
+  SELECT c, i, (s - ((s % n) + n) % n) // n AS v FROM (
+    SELECT a.c, x.i, sum(x.v)::BIGINT AS s, count(*) AS n
+    FROM near{n} a JOIN comps x ON x.r = a.r GROUP BY a.c, x.i)),
+step{n} AS (SELECT o.c, o.i, coalesce(m.v, o.v) AS v
+            FROM {last} o LEFT JOIN means{n} m ON m.c = o.c AND m.i = o.i)""")
+            last = f"step{n}"
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS r, vec_id, embedding AS e FROM embeddings
+  WHERE len(embedding) = {dims}
+        AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims}),
+comps AS (
+  SELECT r, i, floor({scale} * e[i]::DOUBLE)::BIGINT AS v
+  FROM (SELECT r, e, unnest(range(1, {dims + 1})) AS i FROM kept)),
+firsts AS (
+  SELECT r, n - 1 AS c FROM (
+    SELECT r, row_number() OVER (ORDER BY sha256('1:' || coalesce(vec_id::VARCHAR, ''))) AS n
+    FROM kept) WHERE n <= {k}),
+start AS (SELECT f.c, x.i, x.v FROM firsts f JOIN comps x ON x.r = f.r),
+{",".join(steps).strip()},
+digests AS (SELECT c, sha256(string_agg(v::VARCHAR, ',' ORDER BY i)) AS h FROM {last} GROUP BY c)
+SELECT q.vec_id, a.c::INTEGER AS cluster, a.d AS distance,
+       (sum(a.d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia,
+       (sum(a.d) OVER ())::BIGINT AS inertia, g.h AS centroid_sha256
+FROM near{rounds} a JOIN kept q ON q.r = a.r JOIN digests g ON g.c = a.c
+"""
+
+
+DIVERGENCE = """
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         coalesce(text, '') AS text FROM documents),
+words AS (
+  SELECT d, lang, source, unnest(regexp_extract_all(translate(text,
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term
+         HAVING count(DISTINCT d) >= 10),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words GROUP BY ALL),
+sources AS (SELECT DISTINCT lang, source FROM docs),
+langs AS (SELECT lang, sum(n) AS total, count(*) AS v FROM kept GROUP BY lang),
+grid AS (
+  SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n, k.n AS lang_n
+  FROM sources s JOIN kept k ON k.lang = s.lang
+       LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+totals AS (SELECT lang, source, sum(n) AS total FROM grid GROUP BY lang, source),
+shares AS (
+  SELECT g.lang, g.source, g.term, g.n,
+         1 + (1000000000::HUGEINT * (g.n + 2)) // (t.total + 2 * l.v) AS p,
+         1 + (1000000000::HUGEINT * (g.lang_n + 2)) // (l.total + 2 * l.v) AS q
+  FROM grid g JOIN totals t ON t.lang = g.lang AND t.source = g.source
+       JOIN langs l ON l.lang = g.lang),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source
+  GROUP BY ALL),
+report AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+  FROM sources a JOIN sources b ON b.lang = a.lang AND b.source <> a.source
+       LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares
+  WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part
+                                        ORDER BY value DESC, item) AS rank FROM report)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
 SQL = {"op4_repeats": REPEATS, "op5_exact_dedup": EXACT_DEDUP, "op7_url_filter": URL_FILTER,
-       "op9_near_dedup": NEAR_DEDUP, "op10_licenses": LICENSES}
+       "op9_near_dedup": NEAR_DEDUP, "op10_licenses": LICENSES,
+       "op11_centroids": _k_means(), "op13_divergence": DIVERGENCE}

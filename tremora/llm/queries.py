@@ -4,8 +4,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremora.llm import (exact_dedup, hnsw, licenses, minhash, packing, quality, repeats,
-                         sentencepiece_codec, toxicity, urls)
+from tremora.llm import (centroids, divergence, exact_dedup, hnsw, html_text, licenses, minhash,
+                         packing, quality, repeats, sentencepiece_codec, toxicity, urls)
 from tremora.llm.common import table
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
@@ -69,6 +69,21 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(table(spark, sf_dir, "embeddings"))
+
+
+def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.fit(pages)).select(
+        "page_id", "url", "text", "n_chars")
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_toxicity, op3_quality, op4_repeats,
                                    op5_exact_dedup, op6_packing, op7_url_filter, op8_nearest,
-                                   op9_near_dedup, op10_licenses)}
+                                   op9_near_dedup, op10_licenses, op11_centroids, op12_html_text,
+                                   op13_divergence)}
