@@ -81,6 +81,19 @@ def test_ties_nulls_and_groups_without_terms(spark):
     against_plain(spark, rows + [("word " * 50_000, "en", "a")] * 10)
 
 
+def test_pairs_in_many_blocks(spark):
+    rows = corpus(3)
+    docs = spark.createDataFrame([(k, t, lang, s) for k, (t, lang, s) in enumerate(rows)],
+                                 "doc_id int, text string, lang string, source string")
+    counts = divergence.term_counts(docs)
+    kept = divergence.kept_terms(counts)
+    groups = divergence.group_totals(counts, kept)
+    got = divergence.pair_sums(kept, groups, cells=30, block=50).collect()
+    want = {(lang, s, item): value for lang, s, part, item, value, _ in plain_audit(rows)
+            if part == "pair"}
+    assert {(r.lang, r.source, r["item"]): r.value for r in got} == want
+
+
 def test_empty_table_and_early_flush(spark, monkeypatch):
     against_plain(spark, [])
     monkeypatch.setattr(divergence, "FLUSH_BYTES", 50)

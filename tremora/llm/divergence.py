@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tremora.llm.common import shuffle_parts, small_batches
+from tremora.llm.common import small_batches
 from tremora.session import written
 
 #: Documents of a language that a kept term must occur in.
@@ -41,8 +41,8 @@ TOP_TERMS = 10
 UNIT = 1_000_000_000
 #: Text that a task counts before it hands its counts on, and the distinct words it holds.
 FLUSH_BYTES, FLUSH_TERMS = 1 << 27, 400_000
-#: Numbers of a matrix block.
-CELLS = 1 << 20
+#: Numbers of a matrix that is evaluated at once, and of a block of cells, which is a task's share.
+CELLS, BLOCK = 1 << 20, 1 << 21
 
 # A-Z to a-z, letters and all bytes from 0x80 as they are, everything else to a space
 _LETTERS = bytes(b if 0x61 <= b <= 0x7A or b >= 0x80 else b + 32 if 0x41 <= b <= 0x5A else 0x20
@@ -166,9 +166,12 @@ def block_sums(counts: np.ndarray, held: np.ndarray, totals: list[int], terms: i
     return out
 
 
-def pair_sums(kept: DataFrame, groups: DataFrame, cells: int = CELLS) -> DataFrame:
-    """``lang, source, item, value`` for every two sources of a language, both ways round."""
-    blocks = shuffle_parts(kept.sparkSession)
+def pair_sums(kept: DataFrame, groups: DataFrame, cells: int = CELLS,
+              block: int = BLOCK) -> DataFrame:
+    """``lang, source, item, value`` for every two sources of a language, both ways round.
+
+    The cells of a language are cut into blocks of about ``block`` numbers, cells times sources.
+    """
     names = ["lang", "source", "item", "value"]
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -196,9 +199,16 @@ def pair_sums(kept: DataFrame, groups: DataFrame, cells: int = CELLS) -> DataFra
                                      pa.int64() if n == "value" else pa.string())
                          for k, n in enumerate(names)})
 
-    merged = (kept.groupBy("lang", "counts").agg(F.count(F.lit(1)).alias("held"))
-              .withColumn("block", F.pmod(F.xxhash64("counts"), F.lit(blocks)).cast("int")))
-    listed = groups.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    merged = written(kept.groupBy("lang", "counts").agg(F.count(F.lit(1)).alias("held")), "cells")
+    width = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("width"))
+    numbers = F.coalesce(F.col("cells"), F.lit(0)) * F.col("width")
+    blocks = width.join(merged.groupBy("lang").agg(F.count(F.lit(1)).alias("cells")), "lang", "left"
+                        ).select("lang", F.greatest(F.ceil(numbers / block), F.lit(1)).cast("int")
+                                 .alias("blocks"))
+    merged = merged.join(blocks, "lang").select(
+        "lang", "counts", "held", F.pmod(F.xxhash64("counts"), "blocks").cast("int").alias("block"))
+    listed = groups.join(blocks, "lang").withColumn(
+        "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
     parts = merged.groupBy("lang", "block").cogroup(listed.groupBy("lang", "block")).applyInArrow(
         run, "lang string, source string, item string, value bigint")
     return parts.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
