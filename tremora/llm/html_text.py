@@ -7,8 +7,8 @@ its share of link text. A bidirectional LSTM in numpy reads the vectors of a pag
 and classifies every block in the light of the whole page.
 
 Training. Pages that say where their article is (an ``article`` or ``main`` element) label their own
-blocks. At most ``SAMPLE_PAGES`` pages (the first by a hash of the id) with at most ``SAMPLE_CHARS``
-characters each are read for it; this bounds the fit alone. As one site's layout teaches
+blocks. ``SAMPLE_PAGES`` pages (the first by a hash of the id), of these the ones with at most
+``SAMPLE_CHARS`` characters, are read for it; this bounds the fit alone. As one site's layout teaches
 nothing about others, each page is also laid out anew (``redressed``): its article blocks under
 other containers, between menus, sidebars, notices, adverts, forms and reader comments that
 are filled with texts of other pages. All blocks of all pages are classified with the whole of
@@ -544,9 +544,13 @@ def lessons(pages: list[list[Block]], seed: int = 1, layouts: int = 5
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
         sample_pages: int = SAMPLE_PAGES, sample_chars: int = SAMPLE_CHARS) -> Labeller:
     """A labeller from a bounded sample of ``pages``; the same for the same rows in any order."""
+    mark = F.xxhash64(F.lit("lesson"), F.col(id_col))
+    # the ids alone first, so that no task sends its own first pages to the driver
+    last = (pages.select(mark.alias("mark")).distinct().orderBy("mark").limit(sample_pages)
+            .agg(F.max("mark")).first()[0])
     text = F.col(html_col)
-    rows = (pages.where(text.isNotNull() & (F.length(text) <= sample_chars))
-            .select(F.xxhash64(F.lit("lesson"), F.col(id_col)).alias("mark"), text.alias("html"))
+    rows = (pages.where((mark <= F.lit(last)) & (F.length(text) <= sample_chars))
+            .select(mark.alias("mark"), text.alias("html")).distinct()
             .orderBy("mark", "html").limit(sample_pages).collect())
     found, marks = lessons([blocks(r.html) for r in rows])
     tool = Vectors()
