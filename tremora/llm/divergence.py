@@ -42,7 +42,7 @@ UNIT = 1_000_000_000
 #: Text that a task counts before it hands its counts on, and the distinct words it holds.
 FLUSH_BYTES, FLUSH_TERMS = 1 << 27, 400_000
 #: Numbers of a matrix that is evaluated at once, and of a block of cells, which is a task's share.
-CELLS, BLOCK = 1 << 20, 1 << 21
+CELLS, BLOCK = 1 << 20, 1 << 19
 
 # A-Z to a-z, letters and all bytes from 0x80 as they are, everything else to a space
 _LETTERS = bytes(b if 0x61 <= b <= 0x7A or b >= 0x80 else b + 32 if 0x41 <= b <= 0x5A else 0x20

@@ -43,6 +43,8 @@ SAMPLE_PAGES, SAMPLE_CHARS = 240, 40_000
 PATH, WORDS, HIDDEN = 384, 48, 24
 FIGURES = 8
 EPOCHS, BATCH_PAGES, RATE = 10, 32, 0.02
+#: New layouts that the sampled pages are given, together.
+LAID_OUT = 1600
 LIMIT = 0.5
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -408,6 +410,18 @@ def train(pages: list[np.ndarray], labels: list[np.ndarray], epochs: int = EPOCH
     return model
 
 
+def shuffled_words(pages: list[np.ndarray], seed: int = 1) -> list[np.ndarray]:
+    """Every other page with its word numbers dealt anew, as other sites use other words."""
+    r = np.random.default_rng(seed)
+    out = []
+    for k, page in enumerate(pages):
+        if k % 2:
+            order = PATH + r.permutation(WORDS)
+            page = np.concatenate([page[:, :PATH], page[:, order], page[:, PATH + WORDS:]], 1)
+        out.append(page)
+    return out
+
+
 # --- what it learns from ----------------------------------------------------------------------
 
 _OUTER = {"article", "main"}
@@ -433,6 +447,7 @@ EXTRAS = {
     "before": [
         ("nav|ul", "li", (3, 8), "short"), ("div.menu|ul", "li", (3, 8), "short"),
         ("header|nav|ul", "li", (3, 7), "short"), ("header", "div", (1, 3), "short"),
+        ("header", "", (1, 1), "short"), ("div.logo", "", (1, 1), "short"),
         ("div#header", "div", (1, 3), "short"), ("div.top-bar", "span", (1, 2), "short"),
         ("div.breadcrumbs", "span", (1, 1), "short"), ("div.cookie-notice", "p", (1, 2), "any"),
         ("div#cookie-banner", "p", (1, 2), "any"), ("div.notice", "p", (1, 2), "any"),
@@ -504,7 +519,7 @@ def redressed(body: list[Block], pool: dict[str, list[str]], r: random.Random
             tag = r.choice(["h1", "h1", "h1", "h2", "header|h1", "p"])
         else:
             tag = r.choice(INSIDE)
-            if not bare and r.random() < 0.03:
+            if not bare and r.random() < 0.08:
                 extra("within", home)
         brief = tag not in ("p", "h1") and r.random() < 0.6 or r.random() < 0.04
         for _ in range(r.randint(2, 6) if brief and tag.endswith(("li", "td", "dd")) else 1):
@@ -516,11 +531,12 @@ def redressed(body: list[Block], pool: dict[str, list[str]], r: random.Random
     return [b for b, _ in out], [m for _, m in out]
 
 
-def lessons(pages: list[list[Block]], seed: int = 1, layouts: int = 5
+def lessons(pages: list[list[Block]], seed: int = 1, layouts: int = LAID_OUT
             ) -> tuple[list[list[Block]], list[list[int]]]:
-    """Labelled pages: those that label themselves, and new layouts of them."""
+    """Labelled pages: those that label themselves, and about ``layouts`` new layouts of them."""
     r = random.Random(seed)
     marked = [(p, own_labels(p)) for p in pages if p]
+    each = -(-layouts // max(1, len(marked)))
     body = [[b for b, m in zip(p, marks) if m] if marks else p for p, marks in marked]
     long_texts = [b.text for p in body for b in p if len(b.text) >= 40] or ["text"]
     others = [b.text for p, marks in marked if marks for b, m in zip(p, marks) if not m]
@@ -533,7 +549,7 @@ def lessons(pages: list[list[Block]], seed: int = 1, layouts: int = 5
         if marks:
             out.append(page)
             labels.append(marks)
-        for _ in range(layouts):
+        for _ in range(each):
             cut = main[:r.randint(1, len(main))] if r.random() < 0.5 else main
             laid, found = redressed(cut[:60], pool, r)
             out.append(laid)
@@ -554,7 +570,8 @@ def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
             .orderBy("mark", "html").limit(sample_pages).collect())
     found, marks = lessons([blocks(r.html) for r in rows])
     tool = Vectors()
-    return train([tool.of(p) for p in found], [np.array(m, np.float32) for m in marks])
+    return train(shuffled_words([tool.of(p) for p in found]),
+                 [np.array(m, np.float32) for m in marks])
 
 
 def extract(pages: DataFrame, model: Labeller, id_col: str = "page_id", url_col: str = "url",
