@@ -126,6 +126,74 @@ def test_worst_case_from_events_equals_worst_case_from_pairs(spark):
     assert rows(risk.worst_case_of_events(events, table, rows=9), *columns) == whole
 
 
+WORST = ["province_key", "district_key", "province", "district", "live_event_impact_score",
+         "baseline_risk_score", "dynamic_priority_score", "triggering_event_id",
+         "strongest_event_id"]
+
+
+@pytest.mark.parametrize("lat,lon", [((-89.9, 89.9), (-180, 180)), ((40, 40.01), (29, 29.01)),
+                                     ((-1, 1), (179, 180)), ((88, 90), (-180, 180))])
+def test_best_and_worst_anywhere_on_the_globe(spark, lat, lon):
+    """Both plans without the product, rounded as sums of equal doubles may differ in the last bit."""
+    events = events_df(spark, 60, seed=11, lat=lat, lon=lon)
+    table = districts_df(spark, 80, seed=12, lat=lat, lon=lon)
+    pairs = impact.score_pairs(events, table)
+    assert rows(risk.worst_case_of_events(events, table), *WORST) == rows(
+        risk.district_worst_case(pairs), *WORST)
+    columns = ["event_id", "district_key", "district_order", "event_priority_rank"]
+    assert rows(districts.top_districts_of_events(events, table), *columns) == rows(
+        districts.top_districts(pairs), *columns)
+
+
+def test_worst_case_without_keys_strength_or_events(spark):
+    events, table = events_df(spark, 6), districts_df(spark, 8)
+    table = table.withColumn("district_key", F.when(F.col("district") != "district 3",
+                                                    F.col("district_key")))
+    table = table.unionByName(table.limit(2))  # districts listed twice
+    weak = events.withColumns({"magnitude": F.lit(3.0), "depth_km": F.lit(90.0)})
+    for some in (events, weak, events.unionByName(weak.withColumn("event_id", F.lit("Z")))):
+        want = rows(risk.district_worst_case(impact.score_pairs(some, table)), *WORST[2:])
+        assert rows(risk.worst_case_of_events(some, table), *WORST[2:]) == want
+        assert len(want) == 8
+    assert risk.worst_case_of_events(events.limit(0), table).count() == 0
+    assert risk.worst_case_of_events(events, table.limit(0)).count() == 0
+
+
+def test_a_crowd_of_events_is_thinned_before_any_pair(spark):
+    """Pairs must not grow with the reports on one spot, nor with copies of a report."""
+    table = districts_df(spark, 40)
+    few = events_df(spark, 200, seed=3, lat=(40.5, 40.51), lon=(29.0, 29.01))
+    many = events_df(spark, 5000, seed=3, lat=(40.5, 40.51), lon=(29.0, 29.01))
+    copies = few.crossJoin(spark.range(20)).withColumn(
+        "event_id", F.concat("event_id", F.lit("-"), F.col("id"))).drop("id")
+    assert risk.skyline(copies).count() == risk.skyline(few).count() < 30
+    assert risk.skyline(many).count() < 30
+    side = impact.district_side(table).withColumn("_row", F.monotonically_increasing_id())
+    assert risk.worst_candidates(side, many).count() < 30 * 40
+    assert rows(risk.worst_case_of_events(many, table), *WORST) == rows(
+        risk.district_worst_case(impact.score_pairs(many, table)), *WORST)
+
+
+def test_candidates_of_an_event_are_few_of_all_districts(spark):
+    events = events_df(spark, 50, lat=(36, 42), lon=(26, 44))
+    table = districts_df(spark, 3000, lat=(36, 42), lon=(26, 44))
+    found = districts.district_candidates(events, table)
+    assert found.count() < 0.1 * 50 * 3000
+    columns = ["event_id", "district_key", "district_order", "event_priority_rank"]
+    assert rows(districts.top_districts_of_events(events, table), *columns) == rows(
+        districts.top_districts(impact.score_pairs(events, table)), *columns)
+
+
+def test_no_plan_without_an_equality(spark):
+    events, table = events_df(spark, 20), districts_df(spark, 30)
+    for df in (districts.top_districts_of_events(events, table),
+               districts.top_districts_of_events(events, table, rows=5),
+               risk.worst_case_of_events(events, table),
+               risk.worst_case_of_events(events, table, rows=5)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_a_change_must_exceed_the_threshold(spark):
     new = spark.createDataFrame([("P", "a", 11.0), ("P", "b", 11.5), ("Q", "a", 1.0)],
                                 "province_key string, district_key string, live_risk_score double")

@@ -66,58 +66,64 @@ def product_limit(km: float) -> float:
     return math.cos(km / EARTH_RADIUS_KM) / 4
 
 
+# The grid is written as SQL text: as Column objects, one cell takes a hundred calls to build.
+
 def _band_height(km: float) -> float:
     return math.degrees(km / EARTH_RADIUS_KM) * _SLACK
 
 
-def _band(lat: Column, km: float) -> Column:
-    return F.floor(lat / _band_height(km))
+def _band(lat: str, km: float) -> str:
+    return f"floor(({lat}) / {_band_height(km)!r}D)"
 
 
-def _reach(steepest_lat: Column, km: float) -> Column:
-    """Degrees of longitude that ``km`` can span up to the given latitude."""
-    cosine = F.cos(F.radians(F.least(steepest_lat, F.lit(90.0))))
-    ratio = F.lit(math.sin(min(km / (2 * EARTH_RADIUS_KM), math.pi / 2))) / F.greatest(
-        cosine, F.lit(1e-12))
-    return F.degrees(2 * F.asin(F.least(ratio, F.lit(1.0)))) * _SLACK
+def _steepest(band: str, km: float) -> str:
+    height = f"{_band_height(km)!r}D"
+    return f"greatest(abs(({band}) * {height}), abs((({band}) + 1) * {height}))"
 
 
-def _steepest(band: Column, km: float) -> Column:
-    height = _band_height(km)
-    return F.greatest(F.abs(band * height), F.abs((band + 1) * height))
+def _reach(steepest_lat: str, km: float) -> str:
+    """Degrees of longitude that ``km`` can span up to the given latitude."""
+    half = math.sin(min(km / (2 * EARTH_RADIUS_KM), math.pi / 2))
+    cosine = f"greatest(cos(radians(least({steepest_lat}, 90.0D))), 1e-12D)"
+    return f"(degrees(2 * asin(least({half!r}D / {cosine}, 1.0D))) * {_SLACK!r}D)"
 
 
-def _cells_in(band: Column, km: float) -> Column:
+def _cells_in(band: str, km: float) -> str:
     """How many cells go round the globe in a band, each at least the radius wide."""
-    return F.greatest(F.floor(360.0 / _reach(_steepest(band, km), km)), F.lit(1))
+    return f"greatest(floor(360.0D / {_reach(_steepest(band, km), km)}), 1)"
 
 
-def _code(band: Column, cell: Column) -> Column:
-    return band * _CELLS_PER_BAND + cell
+def _code(band: str, cell: str) -> str:
+    return f"(({band}) * {_CELLS_PER_BAND}L + ({cell}))"
 
 
-def cell_of(lat: Column, lon: Column, km: float) -> Column:
-    """The one grid cell of a point (a long)."""
+def cell_sql(lat: str, lon: str, km: float) -> str:
     band = _band(lat, km)
     count = _cells_in(band, km)
-    return _code(band, F.pmod(F.floor((lon + 180.0) * count / 360.0), count))
+    return _code(band, f"pmod(floor((({lon}) + 180.0D) * {count} / 360.0D), {count})")
+
+
+def around_sql(lat: str, lon: str, km: float) -> str:
+    height = f"{_band_height(km)!r}D"
+    bands = f"sequence({_band(f'{lat} - {height}', km)}, {_band(f'{lat} + {height}', km)})"
+    reach = _reach(f"greatest({_steepest('band', km)}, abs({lat}))", km)
+    count = _cells_in("band", km)
+    first = f"floor(({lon} + 180.0D - {reach}) * {count} / 360.0D)"
+    last = f"floor(({lon} + 180.0D + {reach}) * {count} / 360.0D)"
+    cells = f"sequence({first}, least({last}, {first} + {count} - 1))"
+    return (f"flatten(transform({bands}, band -> transform({cells}, cell -> "
+            f"{_code('band', f'pmod(cell, {count})')})))")
+
+
+def cell_of(lat: str, lon: str, km: float) -> Column:
+    """The one grid cell of a point (a long), of the columns of these names."""
+    return F.expr(cell_sql(lat, lon, km))
 
 
-def cells_around(lat: Column, lon: Column, km: float) -> Column:
+def cells_around(lat: str, lon: str, km: float) -> Column:
     """All cells that can hold a point within ``km``, each once (array<long>).
 
     The cell width depends on the band alone, so no pass over the data is needed to choose it;
     bands close on themselves at +-180 degrees and grow to the whole circle at the poles.
     """
-    height = _band_height(km)
-    bands = F.sequence(_band(lat - height, km), _band(lat + height, km))
-
-    def in_band(band: Column) -> Column:
-        count = _cells_in(band, km)
-        reach = _reach(F.greatest(_steepest(band, km), F.abs(lat)), km)
-        first = F.floor((lon + 180.0 - reach) * count / 360.0)
-        last = F.floor((lon + 180.0 + reach) * count / 360.0)
-        last = F.least(last, first + count - 1)
-        return F.transform(F.sequence(first, last), lambda i: _code(band, F.pmod(i, count)))
-
-    return F.flatten(F.transform(bands, in_band))
+    return F.expr(around_sql(lat, lon, km))

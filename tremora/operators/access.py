@@ -41,8 +41,8 @@ def events_with_districts(top: DataFrame) -> DataFrame:
             F.col("_t_x").alias("x"), F.col("_t_y").alias("y"), F.col("_t_z").alias("z"),
         ))).alias("_top"),
     )
-    around = F.array_distinct(F.flatten(F.transform("_top", lambda d: geo.cells_around(
-        d["district_latitude"], d["district_longitude"], km))))
+    cells = geo.around_sql("d.district_latitude", "d.district_longitude", km)
+    around = F.expr(f"array_distinct(flatten(transform(_top, d -> {cells})))")
     columns = {}
     for i in _PLACES:
         here = F.get("_top", F.lit(i))
@@ -77,7 +77,7 @@ def access(events: DataFrame, pool: DataFrame, rows: int = fixed.BROADCAST_ROWS,
     looking = events.withColumn("_cell", F.explode("_cells")).drop(
         "_cells", *EVENT_COLUMNS[1:])
     place = F.col("latitude"), F.col("longitude")
-    placed = pool.select(*POOL_COLUMNS, geo.cell_of(*place, km).alias("_at"), *[
+    placed = pool.select(*POOL_COLUMNS, geo.cell_of("latitude", "longitude", km).alias("_at"), *[
         _known(value).alias(f"_f_{axis}") for axis, value in zip("xyz", geo.unit(*place))])
     here = F.col("_cell") == F.col("_at")
     if fits_broadcast(pool, rows):

@@ -5,9 +5,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tremora import fixed, schemas
-from tremora.functions import scores
-from tremora.operators import impact
-from tremora.operators.pairing import fits_broadcast, theta_join
+from tremora.functions import geo, scores
+from tremora.operators import impact, pyramid
+from tremora.operators.pairing import fits_broadcast
 from tremora.operators.ranks import rank_by_score
 
 
@@ -58,30 +58,81 @@ def top_districts(scored: DataFrame, top: int = fixed.TOP_DISTRICTS) -> DataFram
     return _first_ten(scored.where(F.col("dynamic_priority_score").isNotNull()), top)
 
 
-def top_districts_of_events(events: DataFrame, districts: DataFrame,
-                            top: int = fixed.TOP_DISTRICTS,
-                            rows: int = fixed.BROADCAST_ROWS) -> DataFrame:
-    """The same straight from events and districts, without forming the product.
+#: Shares of the districts below the limits of the risk bands, finer towards the riskiest.
+_BANDS = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95, 0.98, 0.99)
+_ANYWHERE = 2 * pyramid.LEVELS[-1]
 
-    An impact is never negative, so the ten riskiest districts alone give every event ten
-    priorities of at least ``0.4 * (10th highest risk)``; nothing below that can be in a top ten.
-    Nor can a district whose risk plus the full strength of the event stays below it, and that
-    is known before any distance is computed: it is the join condition.
+
+def _bounded_events(events: DataFrame, side: DataFrame, top: int, rows: int) -> DataFrame:
+    """Events with ``_bound``, a priority that ``top`` districts are proven to reach.
+
+    An impact is never negative, so the riskiest districts of all prove 0.4 of the least risk
+    among them; the riskiest districts of the event's own cells prove more, by their impact.
     """
-    side = impact.district_side(districts).where(F.col("final_risk_score").isNotNull())
     riskiest = (side.select("final_risk_score").orderBy(F.desc("final_risk_score")).limit(top)
                 .agg(F.when(F.count(F.lit(1)) == top, F.min("final_risk_score")).alias("r")))
-    side = side.withColumn("_bound", F.coalesce(
-        riskiest.scalar() * fixed.BASE_RISK_WEIGHT, F.lit(float("-inf"))))
-    # the slack covers rounding: an impact can exceed the strength by a few units in last place
-    reachable = scores.dynamic_priority(F.col("event_strength") + 1e-6,
-                                        F.col("final_risk_score")) >= F.col("_bound")
-    # both tests in one condition, the cheap one first, and no filter for nulls (which fail both
-    # tests) on top of the join: it would be pushed in front, and compute every distance
+    start = F.coalesce(riskiest.scalar() * fixed.BASE_RISK_WEIGHT, F.lit(float("-inf")))
+    unit = [F.col(f"_d_{axis}").alias(axis) for axis in "xyz"]
+    table = pyramid.champions(side, "district_latitude", "district_longitude", "final_risk_score",
+                              unit, top)
+    found, names = pyramid.with_champions(events, table, "event_latitude", "event_longitude", rows)
+
+    def proven(member: Column) -> Column:
+        km = geo.chord_km(pyramid.squared_chord(member, "_e"))
+        return scores.dynamic_priority(scores.impact(F.col("event_strength"), km), member["_w"])
+    bounds = [start, *[F.array_min(F.transform(name, proven)) for name in names]]
+    return found.withColumn("_bound", F.greatest(*bounds) if names else start).drop(*names)
+
+
+def _limits(side: DataFrame) -> list[float]:
+    """The highest risk of each risk band, ascending; a dozen numbers."""
+    found = side.agg(F.approx_percentile("final_risk_score", list(_BANDS), 1000).alias("q"),
+                     F.max("final_risk_score").alias("top")).first()
+    return [] if found.top is None else sorted({*found.q, found.top})
+
+
+def district_candidates(events: DataFrame, districts: DataFrame, top: int = fixed.TOP_DISTRICTS,
+                        rows: int = fixed.BROADCAST_ROWS) -> DataFrame:
+    """Pairs (event, district) of which the first ``top`` of every event are the true ones.
+
+    A district needs an impact of ``bound - 0.4 risk`` (over 0.6) to reach an event's bound, and
+    so has to lie within a radius that only the event and the risk decide. Districts are dealt
+    into bands of risk, an event takes one radius per band, and looks for the band's districts on
+    the narrowest grid that the radius fits: one equality, and no pair beyond it is met.
+    """
+    side = impact.district_side(districts).where(
+        "final_risk_score IS NOT NULL AND district_latitude IS NOT NULL "
+        "AND district_longitude IS NOT NULL")
+    bounded = _bounded_events(impact.spread(impact.event_side(events)), side, top, rows)
+    limits = _limits(side)
+    if not limits:
+        limits = [0.0]
+    need = F.col("_bound") - F.col("_limit") * fixed.BASE_RISK_WEIGHT - 1e-6
+    most = F.col("event_strength") * fixed.IMPACT_WEIGHT
+    # with slack on both: an impact can exceed the strength by a few units in last place
+    radius = F.coalesce(pyramid.reach(most, need), F.lit(_ANYWHERE))
+    placed = (bounded.select("*", F.posexplode(F.array(*map(F.lit, limits))).alias("_band", "_limit"))
+              .where((need <= 0) | ((most > 0) & (radius >= 0))).withColumn("_km", radius)
+              .withColumn("_level", pyramid.level_of("_km")).drop("_limit", "_km"))
+    placed = placed.withColumn("_cell", F.element_at(
+        pyramid.cells("event_latitude", "event_longitude"), F.col("_level") + 1))
+    band = F.expr("CASE " + " ".join(f"WHEN final_risk_score <= {limit!r}D THEN {n}"
+                                     for n, limit in enumerate(limits)) + " END")
+    listed = (side.withColumn("_band", band)
+              .withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(len(pyramid.LEVELS) - 1))))
+              .withColumn("_cell", F.explode(pyramid.around(
+                  "district_latitude", "district_longitude", "_level"))))
     exact = scores.dynamic_priority(scores.impact(F.col("event_strength"), impact.distance()),
                                     F.col("final_risk_score")) >= F.col("_bound")
-    pairs = theta_join(impact.spread(impact.event_side(events)), side, reachable & exact,
-                       "event_id", ["province_key", "district_key"], rows)
+    size = side.count() * len(pyramid.LEVELS) * pyramid.MOST_CELLS
+    return pyramid.band_join(placed, listed, exact, size, rows).drop("_bound")
+
+
+def top_districts_of_events(events: DataFrame, districts: DataFrame,
+                            top: int = fixed.TOP_DISTRICTS,
+                            rows: int = fixed.BROADCAST_ROWS) -> DataFrame:
+    """The same straight from events and districts, from candidates instead of the product."""
+    pairs = district_candidates(events, districts, top, rows)
     return _first_ten(impact.with_impact(pairs).select(*schemas.SCORED_COLUMNS), top)
 
 

@@ -24,8 +24,8 @@ def radius_join(points: DataFrame, centers: DataFrame, km: float,
     centers = geo.with_unit(centers, "center_lat", "center_lon", "_c")
     points = geo.with_unit(points, "point_lat", "point_lon", "_p")
     listed = centers.withColumn(
-        "_cell", F.explode(geo.cells_around(F.col("center_lat"), F.col("center_lon"), km)))
-    placed = points.withColumn("_at", geo.cell_of(F.col("point_lat"), F.col("point_lon"), km))
+        "_cell", F.explode(geo.cells_around("center_lat", "center_lon", km)))
+    placed = points.withColumn("_at", geo.cell_of("point_lat", "point_lon", km))
     if fits_broadcast(centers, rows // _MOST_CELLS):
         pairs = placed.join(F.broadcast(listed), F.col("_at") == F.col("_cell"))
     else:
