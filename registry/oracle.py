@@ -250,6 +250,14 @@ _CTES = {
                sum(dynamic_priority_score) OVER (PARTITION BY event_id, facility_id)
                    AS facility_total_assigned_priority
         FROM assigned"""),
+    # three arrivals of reports; the frontier is what the arrivals before have reached
+    "strong_report": (("fx_report",), """
+        SELECT *, feed_id % 3 AS batch, CAST(event_time AS TIMESTAMP) AS clock
+        FROM fx_report WHERE magnitude >= 3.0"""),
+    "taken_in": (("strong_report",), """
+        SELECT *, (SELECT max(b.clock) FROM strong_report b WHERE b.batch < a.batch) AS reached
+        FROM strong_report a WHERE feed_id = (SELECT arg_min(c.feed_id, (c.batch, c.feed_id))
+                                              FROM strong_report c WHERE c.event_id = a.event_id)"""),
     # three arrivals of whole events, told apart by the number of their first report
     "arrival": (("scored",), """
         SELECT feed_id % 3 AS batch, province_key, district_key, province, district,
@@ -419,6 +427,11 @@ def all_sql() -> dict[str, str]:
         "late_event_feed": sql("scored", "event_id province_key district_key"),
         "stream_dedup": _with(("fx_report",)) + """
             SELECT DISTINCT event_id FROM fx_report WHERE magnitude >= 3.0""",
+        "unique_event_feed": _with(("taken_in",)) + f"""
+            SELECT batch, {columns_sql(*EVENT_COLUMNS.split())} FROM taken_in""",
+        "late_event_split": _with(("taken_in",)) + """
+            SELECT event_id, batch, coalesce(clock < reached - INTERVAL 10 MINUTE, false) AS is_late
+            FROM taken_in""",
         "live_risk_upsert": sql("arrival_live", LIVE_COLUMNS,
                                 "batch = (SELECT max(batch) FROM arrival_live)"),
         "risk_change_feed": _with(("arrival_live",)) + f"""

@@ -3,6 +3,7 @@
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from registry import derived, oracle
 from registry.shape import shown
@@ -15,7 +16,7 @@ from tremora.plans import pool as pool_plan
 from tremora.plans import recommend
 from tremora.session import new_folder, written
 from tremora.sources import feeds, tables
-from tremora.streaming import jobs
+from tremora.streaming import intake, jobs
 
 NOW = {"availableNow": True}
 
@@ -421,6 +422,39 @@ def stream_dedup(spark, sf):
     return spark.read.schema("event_id string").parquet(out)
 
 
+def _intake_run(spark, sf):
+    """Reports of one quake, days apart and out of order, in three arrivals; the job is started
+    anew for each."""
+    seen = intake.seen_table(spark, new_folder(spark, "seen"))
+    frontier = intake.frontier_table(spark, new_folder(spark, "frontier"))
+    kept, late, state = (new_folder(spark, name) for name in ("kept", "late", "state"))
+    schema = T.StructType([*feeds.KEY_VALUE.fields, T.StructField("feed_id", T.LongType())])
+
+    def start(folder):
+        raw = feeds.read_stream(spark, "parquet", {"path": folder}, schema)
+        decoded = feeds.decode(raw, schemas.EVENT, keep=("feed_id",))
+        strong = ingest.strong_enough(ingest.valid(decoded))
+        return intake.intake_job(strong, seen, frontier, jobs.folder_feed(kept),
+                                 jobs.folder_feed(late), ["feed_id"], state, NOW)
+    _arrivals(_as_feed(derived.reports(spark, sf), ("feed_id",)), F.col("feed_id") % 3, start)
+    shape = T.StructType([T.StructField("feed_id", T.LongType()), *schemas.EVENT.fields,
+                          T.StructField("batch", T.LongType())])
+    return [spark.read.schema(shape).parquet(path) for path in (kept, late)]
+
+
+def unique_event_feed(spark, sf):
+    """Every event once, late ones too, with the whole of its first report."""
+    kept, late = _intake_run(spark, sf)
+    return _pick(kept.unionByName(late), "batch " + oracle.EVENT_COLUMNS)
+
+
+def late_event_split(spark, sf):
+    """Which of the two feeds an event went to."""
+    kept, late = _intake_run(spark, sf)
+    return kept.withColumn("is_late", F.lit(False)).unionByName(
+        late.withColumn("is_late", F.lit(True))).select("event_id", "batch", "is_late")
+
+
 def _live_risk_run(spark, sf):
     table = jobs.live_risk_table(spark, new_folder(spark, "live-risk"))
     out, state = new_folder(spark, "changes"), new_folder(spark, "state")
@@ -488,6 +522,6 @@ QUERIES = {f.__name__: f for f in (
     min_max_scaled, facility_pool, facility_access, facility_event_impact, facility_safety,
     eligible_facilities, facility_activation_rank, facility_rankings, top_facilities,
     nearest_facility_assignment, assignment_summary, logistics_recommendations, map_export,
-    skipped_events, scored_feed, late_event_feed, stream_dedup, live_risk_upsert, risk_change_feed,
+    skipped_events, scored_feed, late_event_feed, stream_dedup, unique_event_feed, late_event_split, live_risk_upsert, risk_change_feed,
     recommendation_upsert, recommendation_feed, risk_level_thresholds, risk_decay,
 )}

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tremora import fixed
 from tremora.functions import scores
 from tremora.operators.facilities import support_points
+from tremora.operators.order_stats import percentiles
 from tremora.operators.spatial import radius_join
 
 COUNT_COLUMNS = {
@@ -79,8 +80,9 @@ def with_static_safety(facilities: DataFrame) -> DataFrame:
     """Safety from past hazard and from the distance to a fault, over all facilities."""
     fault = scores.to_number(F.col("fay_mesafe_km"))
     numbered = facilities.withColumn("_fault", fault)
-    median = F.coalesce(numbered.agg(F.median("_fault")).scalar(), F.lit(0.0))
-    filled = numbered.withColumn("_fault", F.coalesce(F.col("_fault"), median))
+    median = percentiles(numbered, "_fault", [0.5])[0]
+    filled = numbered.withColumn("_fault", F.coalesce(F.col("_fault"), F.lit(
+        0.0 if median is None else median)))
     hazard = min_max(filled, "hazard_score", "_hazard")
     return (
         min_max(hazard, "_fault", "fault_distance_safety_score")
