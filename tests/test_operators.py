@@ -221,6 +221,44 @@ def test_radius_join_finds_exactly_the_pairs_in_reach(spark, lat, lon, km):
 
 # --- facilities -------------------------------------------------------------------------------
 
+def _near_rows(spark, spots, each, seed, lat, lon, spread=0.002):
+    r = random.Random(seed)
+    points = []
+    for _ in range(spots):
+        at = r.uniform(*lat), r.uniform(*lon)
+        points += [(r.choice("abc"), min(90.0, max(-90.0, at[0] + r.uniform(-spread, spread))),
+                    (at[1] + r.uniform(-spread, spread) + 180) % 360 - 180) for _ in range(each)]
+    points += [("a", None, 1.0), ("b", 1.0, None)]
+    centers = [(k, r.uniform(*lat), r.uniform(*lon)) for k in range(40)]
+    return (spark.createDataFrame(points, "near string, point_lat double, point_lon double"),
+            spark.createDataFrame(centers, "center_id int, center_lat double, center_lon double"),
+            points[:-2], centers)
+
+
+@pytest.mark.parametrize("lat,lon", [((40, 40.4), (29, 29.6)), ((88.5, 90), (-180, 180)),
+                                     ((-0.2, 0.2), (179.8, 180)), ((-90, -89.99), (-180, 180))])
+@pytest.mark.parametrize("limit", [100_000, 10])
+def test_counts_by_cells_equal_counts_by_pairs(spark, lat, lon, limit):
+    points, centers, plain, middles = _near_rows(spark, 60, 8, 4, lat, lon)
+    kinds = {name: F.col("near") == name for name in "abc"}
+    for km in (15.0, 1.3):
+        got = {r.center_id: (r.a, r.b, r.c) for r in
+               spatial.counts_around(points, centers, km, kinds, limit).collect()}
+        for k, at, on in middles:
+            near = [p[0] for p in plain if brute.km(p[1], p[2], at, on) <= km]
+            assert got.get(k, (0, 0, 0)) == tuple(near.count(n) for n in "abc")
+
+
+def test_pairs_grow_with_the_border_alone(spark):
+    """A crowd within the radius adds one row of sums, however many its points."""
+    counts = []
+    for each in (10, 1000):
+        points, centers, *_ = _near_rows(spark, 30, each, 5, (40.0, 40.4), (29.0, 29.4), 0.0001)
+        sums = spatial.cell_sums(points.dropna(), {"a": F.col("near") == "a"})
+        counts.append(sums.count())
+    assert max(counts) <= 2 * min(counts) <= 2 * 120
+
+
 def test_names_and_duplicates(spark):
     data = [
         (1, "otogar", "x", "Durak 5", 40.0, 29.0, "p", "d", "P", "D", "1"),

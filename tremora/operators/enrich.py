@@ -7,7 +7,7 @@ from tremora import fixed
 from tremora.functions import scores
 from tremora.operators.facilities import support_points
 from tremora.operators.order_stats import percentiles
-from tremora.operators.spatial import radius_join
+from tremora.operators.spatial import counts_around
 
 COUNT_COLUMNS = {
     "hastane": "nearby_hospital_count",
@@ -40,12 +40,9 @@ def min_max(df: DataFrame, column: str, name: str) -> DataFrame:
 def with_local_support(facilities: DataFrame, pois: DataFrame,
                        rows: int = fixed.BROADCAST_ROWS) -> DataFrame:
     """Counts of support points within 15 km, their weighted sum, and that sum scaled."""
-    near = radius_join(_points(support_points(pois)), _centers(facilities),
-                       fixed.LOCAL_SUPPORT_RADIUS_KM, rows)
-    counts = near.groupBy("center_id").agg(*[
-        F.count_if(F.col("near") == category).alias(name)
-        for category, name in COUNT_COLUMNS.items()
-    ])
+    kinds = {name: F.col("near") == category for category, name in COUNT_COLUMNS.items()}
+    counts = counts_around(_points(support_points(pois)), _centers(facilities),
+                           fixed.LOCAL_SUPPORT_RADIUS_KM, kinds, rows)
     joined = (
         facilities.join(counts, F.col("id") == F.col("center_id"), "left").drop("center_id")
         .fillna(0, subset=list(COUNT_COLUMNS.values()))
@@ -56,19 +53,12 @@ def with_local_support(facilities: DataFrame, pois: DataFrame,
 
 
 def with_multimodal(facilities: DataFrame, rows: int = fixed.BROADCAST_ROWS) -> DataFrame:
-    """How many of the four transport modes lie within 20 km, itself included.
-
-    The pairs are folded to four flags per facility as they appear. There are few per facility:
-    after de-duplication a 0.01 degree cell holds at most four.
-    """
-    near = radius_join(_points(facilities), _centers(facilities), fixed.MULTIMODAL_RADIUS_KM,
-                       rows)
+    """How many of the four transport modes lie within 20 km, itself included."""
     modes = list(fixed.FACILITY_TYPE_SCORES)
-    flags = near.groupBy("center_id").agg(*[
-        F.max(F.when(F.col("near") == m, 1).otherwise(0)).alias(f"_{m}") for m in modes
-    ])
-    count = sum((F.col(f"_{m}") for m in modes), F.lit(0))
-    counted = flags.select("center_id", count.alias("nearby_transport_mode_count"))
+    near = counts_around(_points(facilities), _centers(facilities), fixed.MULTIMODAL_RADIUS_KM,
+                         {f"_{m}": F.col("near") == m for m in modes}, rows)
+    count = sum((F.when(F.col(f"_{m}") > 0, 1).otherwise(0) for m in modes), F.lit(0))
+    counted = near.select("center_id", count.alias("nearby_transport_mode_count"))
     return (
         facilities.join(counted, F.col("id") == F.col("center_id")).drop("center_id")
         .withColumn("multimodal_score",
