@@ -79,7 +79,12 @@ kept AS (
   FROM docs d JOIN edges e ON e.doc_id = d.doc_id GROUP BY d.doc_id),
 totals AS (SELECT doc_id, count(*) AS n, sum(b - a) AS bytes FROM spans GROUP BY doc_id)
 SELECT d.doc_id, length(d.h) // 2 AS n_bytes, coalesce(t.bytes, 0)::BIGINT AS n_removed,
-       coalesce(t.n, 0) AS n_spans, sha256(unhex(coalesce(k.h, d.h))) AS kept_sha256
+       coalesce(t.n, 0) AS n_spans, sha256(unhex(coalesce(k.h, d.h))) AS kept_sha256,
+       -- whole characters in UTF-8, in hexadecimal digits with a space after each byte
+       coalesce(decode(unhex(replace(array_to_string(regexp_extract_all(
+         regexp_replace(coalesce(k.h, d.h), '(..)', '\\1 ', 'g'), '[0-7][0-9A-F] '
+         || '|[CD][0-9A-F] [89AB][0-9A-F] |E[0-9A-F] [89AB][0-9A-F] [89AB][0-9A-F] '
+         || '|F[0-9A-F] [89AB][0-9A-F] [89AB][0-9A-F] [89AB][0-9A-F] '), ''), ' ', ''))), '') AS text
 FROM docs d LEFT JOIN totals t ON t.doc_id = d.doc_id LEFT JOIN kept k ON k.doc_id = d.doc_id
 """
 

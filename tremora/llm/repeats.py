@@ -28,10 +28,10 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremora.llm.common import row_key, small_batches, texts
+from tremora.llm.common import row_key, shuffle_parts, small_batches, texts
 from tremora.session import written
 
 LENGTH = 400
@@ -41,6 +41,10 @@ GRAM = 128
 GROUP = 128
 #: Starts of a slice, from one round to the next.
 WIDTHS = (64, 8, 1)
+#: No more keys than this can each have more than this part of the rows.
+HOT_KEYS = 10_000
+#: Rows that one task takes of any key.
+COOL_ROWS = 1000
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -291,24 +295,43 @@ def slices(members: DataFrame, width: int, length: int) -> DataFrame:
              "stop int, data binary")
 
 
+def _dealt_join(many: DataFrame, few: DataFrame, keys: list[str], rows: str) -> DataFrame:
+    """``many`` with the columns of ``few`` (one row per key; ``rows`` says how many of ``many`` have
+    it), the rows of a hot key dealt over all tasks.
+
+    A key is hot if it has more than a ``HOT_KEYS``-th part of all rows, so no more than that many
+    can be, and their list is small enough for a broadcast whatever the input.
+    """
+    limit = max(few.agg(F.coalesce(F.sum(rows), F.lit(0))).first()[0] / HOT_KEYS, COOL_ROWS)
+    parts = shuffle_parts(many.sparkSession)
+    hot = few.where(F.col(rows) > limit).select(*keys, F.lit(True).alias("__hot"))
+    many = many.join(F.broadcast(hot), keys, "left").withColumn("__part", F.when(
+        F.col("__hot"), F.pmod(F.xxhash64("doc_id", "key", "start"), F.lit(parts))).otherwise(
+        F.lit(0).cast("long"))).drop("__hot")
+    last = F.when(F.col(rows) > limit, F.lit(parts - 1)).otherwise(F.lit(0)).cast("long")
+    few = few.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    return many.join(few, [*keys, "__part"]).drop("__part", rows)
+
+
 def _contents(cut: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     """Of segments: the ranges that copies of whole segments cover, and one segment for each of
     the different contents of a gram, with the gram's number of ``contents``."""
-    heavy = cut.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("content").alias("lo"),
-                                    F.max("content").alias("hi")).where("n > 1")
-    shared = written(cut.join(heavy.select("gram", (F.col("lo") != F.col("hi")).alias("mixed")),
-                              "gram"), "shared-segments")
+    heavy = written(cut.groupBy("gram").agg(
+        F.count(F.lit(1)).alias("n"), F.min("content").alias("lo"), F.max("content").alias("hi"))
+        .where("n > 1").select("gram", "n", (F.col("lo") != F.col("hi")).alias("mixed")), "grams")
+    shared = written(_dealt_join(cut, heavy, ["gram"], "n"), "shared-segments")
     one = F.struct("doc_id", "key", *[c for c in cut.columns if c in ("place", "start", "stop",
                                                                       "data")])
     contents = written(shared.groupBy("gram", "content", "mixed").agg(
         F.count(F.lit(1)).alias("n"), F.min(one).alias("at")).select(
         "gram", "content", "mixed", "n", "at.*"), "contents")
-    copies = shared.join(contents.where("n > 1").select("gram", "content"), ["gram", "content"])
+    copies = _dealt_join(shared, contents.where("n > 1").select("gram", "content", "n"),
+                         ["gram", "content"], "n")
     whole = copies.select("doc_id", "key", F.col("start").alias("first"),
                           (F.col("stop") - 1 + length).alias("after"))
-    mixed = contents.where("mixed")
-    sizes = mixed.groupBy("gram").agg(F.count(F.lit(1)).alias("contents"))
-    return whole, mixed.drop("content", "mixed", "n").join(sizes, "gram")
+    mixed = contents.where("mixed").drop("content", "mixed", "n")
+    sizes = written(mixed.groupBy("gram").agg(F.count(F.lit(1)).alias("contents")), "gram-sizes")
+    return whole, _dealt_join(mixed, sizes.withColumn("__n", F.col("contents")), ["gram"], "__n")
 
 
 def repeated_ranges(rows: DataFrame, length: int = LENGTH, gram: int = GRAM,
@@ -359,6 +382,14 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, gro
              "spans array<struct<start:int,stop:int>>, kept binary")
 
 
+def kept_text(kept: str) -> Column:
+    """What stays of a text, as a string: of a character that a cut parts nothing stays."""
+    @F.pandas_udf("string")
+    def whole(data: pd.Series) -> pd.Series:
+        return pd.Series([bytes(d).decode(errors="ignore") for d in data], dtype=object)
+    return whole(kept)
+
+
 def cut_texts(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, with the repeated passages cut out of the text.
