@@ -208,7 +208,31 @@ def test_first_fit_decreasing_is_first_fit():
 
 URLS = ["http://a.example.net/en/1", "http://example.net/EN/1", "https://EXAMPLE.com/de/x?y#z",
         "http://x.org/fr/", "http://x.org/fr", "http://org/fr/1", "ftp://anet/", "no scheme", None,
-        "", "http://net", "http://b.net?x/de/", "http://u:p@example.net:80/en/", "a://b://net/"]
+        "", "http://net", "http://b.net?x/de/", "http://u:p@example.net:80/en/", "a://b://net/",
+        "http://x.net?u=http://y/z", "http://org?next=://k/fr/", "http://a.org#://org/fr/",
+        "http://x.com/go?to=http://b.net/", "http://x.net/a://b?c", "://net/", "x:/net://org\n/fr/"]
+#: The host and path of each, by hand.
+PARTS = [("a.example.net", "/en/1"), ("example.net", "/EN/1"), ("example.com", "/de/x"),
+         ("x.org", "/fr/"), ("x.org", "/fr"), ("org", "/fr/1"), ("anet", "/"), ("", ""), ("", ""),
+         ("", ""), ("net", ""), ("b.net", ""), ("u:p@example.net:80", "/en/"), ("b:", "//net/"),
+         ("x.net", ""), ("org", ""), ("a.org", ""), ("x.com", "/go"), ("x.net", "/a://b"),
+         ("net", "/"), ("org\n", "/fr/")]
+
+
+def test_hosts_and_paths_by_hand_and_by_sql(spark):
+    import duckdb
+
+    from tremora.llm import oracle
+    pages = spark.createDataFrame(list(enumerate(URLS)), "page_id bigint, url string")
+    assert queries.RULES == [("net", "/", "block"), ("example.net", "/en/", "allow"),
+                             ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+    rules = spark.createDataFrame(queries.RULES, "host string, path string, verdict string")
+    got = sorted(tuple(r) for r in urls.judge(pages, rules).collect())
+    assert [r[1:3] for r in got] == PARTS
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages(page_id BIGINT, url VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?)", list(enumerate(URLS)))
+    assert sorted(con.execute(oracle.URL_FILTER).fetchall()) == got
 
 
 @pytest.mark.parametrize("limit", [100, 0])

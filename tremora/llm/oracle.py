@@ -20,11 +20,18 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 
 URL_FILTER = f"""
 WITH rules(host, path, verdict) AS (VALUES {_values(RULES)}),
+rests AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3)
+                       ELSE '' END AS rest FROM pages),
+hosts AS (
+  SELECT page_id, rest, strpos(translate(rest, '?#', '//'), '/') AS p FROM rests),
+tails AS (
+  SELECT page_id, CASE WHEN p > 0 THEN substr(rest, 1, p - 1) ELSE rest END AS host,
+         CASE WHEN p > 0 AND substr(rest, p, 1) = '/' THEN substr(rest, p) ELSE '' END AS tail
+  FROM hosts),
 parts AS (
-  SELECT page_id,
-         coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), {_ASCII}), '') AS host,
-         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*(/[^?#]*)', 1), '') AS path
-  FROM pages),
+  SELECT page_id, translate(host, {_ASCII}) AS host,
+         split_part(translate(tail, '#', '?'), '?', 1) AS path FROM tails),
 hits AS (
   SELECT p.page_id, r.host || r.path AS rule, r.verdict,
          row_number() OVER (PARTITION BY p.page_id ORDER BY

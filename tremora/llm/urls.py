@@ -26,14 +26,18 @@ from tremora.llm.common import small_batches
 TRIE_RULES = 100_000
 
 
+def _after_scheme(url: Column) -> Column:
+    """What follows the first ``://``; empty without one. Later ones belong to path or query."""
+    return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://(.*)", 1), F.lit(""))
+
+
 def host_of(url: Column) -> Column:
-    host = F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1)
-    return F.coalesce(F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
-                                  "abcdefghijklmnopqrstuvwxyz"), F.lit(""))
+    host = F.regexp_extract(_after_scheme(url), r"^([^/?#]*)", 1)
+    return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def path_of(url: Column) -> Column:
-    return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*(/[^?#]*)", 1), F.lit(""))
+    return F.regexp_extract(_after_scheme(url), r"^[^/?#]*(/[^?#]*)", 1)
 
 
 class Trie:
