@@ -192,6 +192,32 @@ def test_packing_places_every_id_once(spark):
     assert packing.pack_documents(docs.limit(0), **options).count() == 0
 
 
+def test_both_tokenizers_agree_on_every_code_point():
+    options = queries.tokenizer_options()
+    tool = packing.ByteTokenizer(options["path"], options["ranks"], options["pattern"])
+    lib = Tokenizer.from_file(options["path"])
+    points = [c for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
+    for at in range(0, len(points), 4000):
+        texts = ["".join(f"a{chr(c)}b 1{chr(c)} {chr(c)}. " for c in points[k:k + 40])
+                 for k in range(at, min(at + 4000, len(points)), 40)]
+        for text, want in zip(texts, lib.encode_batch(texts, add_special_tokens=False)):
+            assert np.frombuffer(tool.encode(text), "<u4").tolist() == want.ids
+    r = random.Random(8)
+    pool = [" ", "  ", "\n", "\t", "\x0b", "\x1c", "\x85", "\u00a0", "\u2003", "\u200b", "a", "B",
+            "'s", "'ll", "1", "\u00b2", "\u6f22", "\U0001f600", "<|endoftext|>", "-", "\r\n"]
+    for _ in range(4000):
+        text = "".join(r.choices(pool, k=r.randint(0, 20)))
+        want = lib.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(tool.encode(text), "<u4").tolist() == want, repr(text)
+
+
+def test_memos_do_not_keep_long_keys():
+    from tremora.llm.common import Memo
+    memo = Memo(len, limit=3)
+    assert [memo["a" * k] for k in (1, 2, 300, 3, 4, 1)] == [1, 2, 300, 3, 4, 1]
+    assert max(map(len, [*memo, *memo.old])) <= 256 and len(memo) <= 3
+
+
 def test_first_fit_decreasing_is_first_fit():
     r = random.Random(6)
     sizes = sorted((r.randint(1, 100) for _ in range(300)), reverse=True)

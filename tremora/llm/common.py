@@ -47,13 +47,18 @@ def shuffle_parts(spark: SparkSession) -> int:
 
 
 class Memo(dict):
-    """Results by key, in two generations of bounded size, so frequent keys outlive a clearing."""
+    """Results by key, in two generations of bounded size, so frequent keys outlive a clearing.
 
-    def __init__(self, compute: Callable, limit: int = 150_000) -> None:
+    Keys longer than ``longest`` (text without spaces, say) are worked out each time and not kept,
+    so the limit on entries bounds the bytes as well."""
+
+    def __init__(self, compute: Callable, limit: int = 150_000, longest: int = 256) -> None:
         super().__init__()
-        self.compute, self.limit, self.old = compute, limit, {}
+        self.compute, self.limit, self.longest, self.old = compute, limit, longest, {}
 
     def __missing__(self, key):
+        if len(key) > self.longest:
+            return self.compute(key)
         value = self.old[key] if key in self.old else self.compute(key)
         if len(self) >= self.limit:
             self.old = dict(self)

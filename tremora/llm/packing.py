@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tremora.llm.common import Memo, row_key, small_batches, texts
+from tremora.llm.common import row_key, small_batches, texts
 
 #: Documents of a packing group, about; a power of two.
 GROUP_DOCS = 4096
@@ -28,48 +28,32 @@ GROUP_DOCS = 4096
 class ByteTokenizer:
     """Ids of a byte-level BPE file, as the tokenizers library gives them.
 
-    Its pattern always parts words at a single space between other characters, so words are looked
-    up in a bounded memo; a text with other white space around spaces, or with the mark of special
-    tokens, goes to the library whole. ``ranks``: the same vocabulary as a rank file, with which a
-    new word is encoded faster; ``pattern``: the pattern that belongs to it.
+    ``ranks``: the same vocabulary as a rank file, and ``pattern`` the pattern that belongs to it:
+    with them a text is encoded whole by a faster library that gives the same ids (a test compares
+    both on every code point). A text with the mark of a special token always goes to the first.
     """
 
     def __init__(self, path: str, ranks: str | None = None, pattern: str | None = None) -> None:
         from tokenizers import Tokenizer
         self.tool = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tool.get_added_tokens_decoder().values()]
+        self.plain = self._library
         if ranks:
             import base64
 
             import tiktoken
             with open(ranks, "rb") as file:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-            self.word = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=table,
-                                          special_tokens={}).encode_ordinary
-        else:
-            self.word = self._library
-        self.first = Memo(lambda w: self._word(w, w), 20_000)
-        self.words = Memo(lambda w: self._word(w, " " + w), 100_000)
+            self.plain = tiktoken.Encoding("texts", pat_str=pattern, mergeable_ranks=table,
+                                           special_tokens={}).encode_ordinary
 
     def _library(self, text: str) -> list[int]:
         return self.tool.encode(text, add_special_tokens=False).ids
 
-    def _word(self, word: str, text: str) -> bytes | None:
-        """Ids as little-endian bytes; None where the word's borders need not be token borders."""
-        if not word or word[0].isspace() or word[-1].isspace():
-            return None
-        return np.array(self.word(text), "<u4").tobytes()
-
     def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if not any(mark in text for mark in self.special):
-            head, *rest = text.split(" ")
-            try:
-                return b"".join([self.first[head], *map(self.words.__getitem__, rest)])
-            except TypeError:  # a None among them
-                pass
-        return np.array(self._library(text), "<u4").tobytes()
+        """Ids as little-endian bytes."""
+        marked = any(mark in text for mark in self.special)
+        return np.array((self._library if marked else self.plain)(text), "<u4").tobytes()
 
 
 @lru_cache(maxsize=2)
