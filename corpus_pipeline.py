@@ -11,6 +11,9 @@ from tremora.session import written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Bytes from which a repeated passage is cut: 51 words of four letters and a space. Words here have
+#: some six bytes, so nearly all passages of over fifty words are longer, and few others are.
+PASSAGE_BYTES = 255
 #: Percent of shared shingles from which two texts are near-duplicates.
 NEAR_PERCENT = 80
 
@@ -33,7 +36,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages are cut out of the texts; documents without any text left go."""
-    return repeats.cut_texts(docs)
+    return repeats.cut_texts(docs, PASSAGE_BYTES)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
