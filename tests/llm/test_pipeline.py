@@ -50,7 +50,7 @@ def test_each_stage_against_brute_force(spark, tables):
     want = plain.near_groups([t for _, t in rows], 80)
     assert pairs(three) == [row for k, row in enumerate(rows) if want[k][1] == k]
     four, rows = after(3, three), pairs(three)
-    cut = [w[3].decode(errors="ignore") for w in plain.repeats([t for _, t in rows], 400)]
+    cut = [w[3].decode(errors="ignore") for w in plain.repeats([t for _, t in rows], 255)]
     assert pairs(four) == [(i, None if t is None else c) for (i, t), c in zip(rows, cut)
                            if c or not t]
     five = after(4, four)
