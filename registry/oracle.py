@@ -318,6 +318,13 @@ def all_sql() -> dict[str, str]:
     return {
         "load_districts": sql("fx_district", district),
         "refresh_districts": sql("fx_district", district),
+        "csv_scan": _with(("fx_poi",)) + """
+            SELECT CASE WHEN reject IS NULL THEN id END AS id,
+                   CASE WHEN reject IS NULL THEN kategori END AS kategori,
+                   CASE WHEN reject IS NULL THEN round(latitude, 6) END AS latitude, reject
+            FROM (SELECT *, CASE WHEN id % 17 = 0 THEN 'no number: id'
+                                 WHEN id % 13 = 0 THEN 'no number: latitude' END AS reject
+                  FROM fx_poi)""",
         "haversine_pairs": _with(("fx_poi", "fx_district")) + f"""
             SELECT p.id, round({km("p.latitude", "p.longitude", "d.latitude", "d.longitude")}, 4)
                 AS distance_km
@@ -451,6 +458,9 @@ def all_sql() -> dict[str, str]:
                    round(quantile_cont(final_risk_score, 0.5), 6) AS medium_max,
                    round(quantile_cont(final_risk_score, 0.75), 6) AS high_max
             FROM fx_district""",
+        "scheduled_decay": _with(("aged",)) + """
+            SELECT province_key, district_key, round(decayed_risk, 6) AS live_risk_score,
+                   risk_level FROM aged""",
         "risk_decay": _with(("aged",)) + """
             SELECT province_key, district_key, round(decayed_risk, 6) AS live_risk_score,
                    risk_level FROM aged""",

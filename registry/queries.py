@@ -1,5 +1,7 @@
 """The Spark side of every checked query."""
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,6 +79,26 @@ def refresh_districts(spark, sf):
     return shown(tables.refresh_districts(spark, csv, new_folder(spark, "districts")))
 
 
+def csv_scan(spark, sf):
+    """Points of interest as CSV with damaged numbers in some lines; all lines come back, typed or
+    rejected."""
+    folder = new_folder(spark, "pois-csv")
+    text = derived.pois(spark, sf).select(*[F.col(c).cast("string") for c in schemas.POI.names])
+    mark = F.col("id").cast("long")
+    text.withColumns({
+        "latitude": F.when(mark % 13 == 0, F.lit("north")).otherwise(F.col("latitude")),
+        "id": F.when(mark % 17 == 0, F.concat(F.lit("n"), "id")).otherwise(F.col("id")),
+    }).write.option("header", True).option("escape", '"').csv(folder)
+    scanned = tables.scan_csv(spark, folder, schemas.POI)
+    good = tables.accepted(scanned).select(
+        F.col("id"), F.col("kategori"), F.round("latitude", 6).alias("latitude"),
+        F.lit(None).cast("string").alias("reject"))
+    bad = tables.rejected(scanned).select(
+        F.lit(None).cast("long").alias("id"), F.lit(None).cast("string").alias("kategori"),
+        F.lit(None).cast("double").alias("latitude"), F.col("_reject").alias("reject"))
+    return good.unionByName(bad)
+
+
 def haversine_pairs(spark, sf):
     places = derived.districts(spark, sf).select(
         "province_key", "district_key", F.col("latitude").alias("lat"),
@@ -162,6 +184,23 @@ def risk_decay(spark, sf):
     return _pick(risk.decayed(live, now), "province_key district_key live_risk_score risk_level")
 
 
+def scheduled_decay(spark, sf):
+    """The same as ``risk_decay``, by a job that lets the live table fade three times."""
+    table = jobs.live_risk_table(spark, new_folder(spark, "live-risk"))
+    faded = jobs.live_risk_table(spark, new_folder(spark, "faded"))
+    end = datetime(2024, 1, 10, tzinfo=timezone.utc)
+    age = F.substr(F.col("district_key"), F.lit(2)).cast("long") % 48
+    live = risk.with_live_risk(
+        risk.worst_case_of_events(events(spark, sf), derived.districts(spark, sf)),
+        F.lit(end) - F.make_dt_interval(hours=age.cast("int")))
+    table.append(live, 0)
+    publish = jobs.folder_feed(new_folder(spark, "levels"))
+    for number, hours in enumerate((30, 7, 0)):
+        jobs.decay_live_risk(end - timedelta(hours=hours), number, table, faded, publish)
+    return _pick(jobs.current_live_risk(table, faded),
+                 "province_key district_key live_risk_score risk_level")
+
+
 # --- ingestion --------------------------------------------------------------------------------
 
 def json_decode_events(spark, sf):
@@ -512,7 +551,7 @@ def recommendation_feed(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    load_districts, refresh_districts, haversine_pairs, event_strength, severity_counts,
+    load_districts, refresh_districts, csv_scan, haversine_pairs, event_strength, severity_counts,
     event_district_impact, event_priority_rank, event_priority_rank_in_bands,
     top_priority_districts, top_priority_districts_of_pairs, event_attributes,
     district_worst_case, district_worst_case_of_pairs, live_risk, json_decode_events, normalized_events, quarantined_events,
@@ -524,4 +563,5 @@ QUERIES = {f.__name__: f for f in (
     nearest_facility_assignment, assignment_summary, logistics_recommendations, map_export,
     skipped_events, scored_feed, late_event_feed, stream_dedup, unique_event_feed, late_event_split, live_risk_upsert, risk_change_feed,
     recommendation_upsert, recommendation_feed, risk_level_thresholds, risk_decay,
+    scheduled_decay,
 )}

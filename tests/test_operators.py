@@ -103,6 +103,19 @@ def test_ranks_in_bands_equal_ranks_in_one_window(spark, ties):
     assert rows(split, "i", "r") == rows(plain, "i", "r")
 
 
+def test_bands_share_scores_that_lie_close_together(spark):
+    """All scores within one unit, most of one key: the rows of a band are far fewer than all."""
+    df = spark.range(20_000).selectExpr(
+        "IF(id % 5 > 0, 'hot', concat('k', id % 7)) k", "50 + pmod(id * 7919, 20000) / 20000 s",
+        "cast(id as int) i")
+    split = rank_by_score(df, "k", "s", "r")
+    assert rows(split, "i", "r") == rows(rank_by_score(df, "k", "s", "r", bounded=True), "i", "r")
+    limits = df.agg(F.approx_percentile("s", [n / 64 for n in range(1, 64)], 1280)).first()[0]
+    sizes = [r["count"] for r in df.groupBy(F.size(F.filter(
+        F.array(*map(F.lit, limits)), lambda x: x < F.col("s")))).count().collect()]
+    assert len(sizes) == 64 and max(sizes) < 2 * 20_000 / 64
+
+
 def test_missing_events_are_reported(spark):
     df = events_df(spark, 2)
     districts.require_events(df, ["E0", "E1"])

@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,6 +79,70 @@ def test_decay_returns_to_the_baseline(spark, scored):
         assert abs(r.live_risk_score - 0.7 * r.baseline_risk_score) < 1e-9
 
 
+def fading(spark, tmp_path, scored, name):
+    table = jobs.live_risk_table(spark, str(tmp_path / f"live-{name}"))
+    faded = jobs.live_risk_table(spark, str(tmp_path / f"faded-{name}"))
+    start = F.lit(datetime(2024, 1, 1, tzinfo=timezone.utc))
+    table.append(risk.with_live_risk(risk.district_worst_case(scored), start), 0)
+    return table, faded, str(tmp_path / f"levels-{name}")
+
+
+def test_any_schedule_of_decays_ends_alike(spark, tmp_path, scored):
+    def hour(n):
+        return datetime(2024, 1, 1, tzinfo=timezone.utc) + timedelta(hours=n)
+    results, feeds_of = [], []
+    for name, schedule in (("a", [30]), ("b", [1, 2, 9, 9, 30]), ("c", [29, 30])):
+        table, faded, out = fading(spark, tmp_path, scored, name)
+        for number, n in enumerate(schedule):
+            for _ in range(2):  # replayed
+                jobs.decay_live_risk(hour(n), number, table, faded, jobs.folder_feed(out))
+        results.append({(r.province_key, r.district_key): (round(r.live_risk_score, 9), r.risk_level)
+                        for r in jobs.current_live_risk(table, faded).collect()})
+        read = spark.read.schema("key string, value string, batch int").parquet(out)
+        feeds_of.append(feeds.decode(read, jobs.LIVE_RISK, keep=("batch",)).collect())
+    table, _, _ = fading(spark, tmp_path, scored, "whole")
+    whole = risk.decayed(table.current(), F.lit(hour(30)))
+    want = {(r.province_key, r.district_key): (round(r.live_risk_score, 9), r.risk_level)
+            for r in whole.collect()}
+    assert results == [want] * 3
+    before = {(r.province_key, r.district_key): r.risk_level for r in table.current().collect()}
+    changed = {k for k in want if want[k][1] != before[k]}
+    assert changed and {(r.province_key, r.district_key) for r in feeds_of[0]} == changed
+    for found in feeds_of[1:]:  # the last message of a district names its level of now
+        last = {}
+        for r in sorted(found, key=lambda r: r.batch):
+            last[r.province_key, r.district_key] = r.risk_level
+        assert last == {k: want[k][1] for k in last} and set(last) >= changed
+
+
+def test_a_new_event_ends_the_fading(spark, tmp_path, scored):
+    table, faded, out = fading(spark, tmp_path, scored, "n")
+    later = datetime(2024, 1, 3, tzinfo=timezone.utc)
+    jobs.decay_live_risk(later, 0, table, faded, jobs.folder_feed(out))
+    jobs.update_live_risk(scored, 1, table, jobs.folder_feed(out + "2"))  # stamped with today
+    now = jobs.current_live_risk(table, faded)
+    assert rows(now, "district_key", "live_risk_score") == rows(
+        table.current(), "district_key", "live_risk_score")
+    jobs.decay_live_risk(later, 1, table, faded, jobs.folder_feed(out))  # older than the event
+    assert rows(jobs.current_live_risk(table, faded), "district_key", "live_risk_score") == rows(
+        table.current(), "district_key", "live_risk_score")
+
+
+def test_decay_job_takes_its_time_from_the_ticks(spark, tmp_path, scored):
+    table, faded, out = fading(spark, tmp_path, scored, "j")
+    ticks, state = str(tmp_path / "ticks"), str(tmp_path / "state")
+    for hours in (5, 12):
+        spark.createDataFrame([(datetime(2024, 1, 1, tzinfo=timezone.utc) + timedelta(hours=h), h)
+                               for h in (hours - 1, hours)], "timestamp timestamp, value long"
+                              ).write.mode("append").parquet(ticks)
+        stream = spark.readStream.schema("timestamp timestamp, value long").parquet(ticks)
+        jobs.decay_job(stream, table, faded, jobs.folder_feed(out), state, NOW, 1).awaitTermination()
+    want = risk.decayed(table.current(), F.lit(datetime(2024, 1, 1, 12, tzinfo=timezone.utc)))
+    got = {r.district_key: r.live_risk_score
+           for r in jobs.current_live_risk(table, faded).collect()}
+    assert all(abs(got[r.district_key] - r.live_risk_score) < 1e-9 for r in want.collect())
+
+
 def test_an_event_spread_over_batches_gets_its_true_top_ten(spark, tmp_path, scored, pool):
     pairs = jobs.scored_table(spark, str(tmp_path / "pairs"))
     table = jobs.recommendation_table(spark, str(tmp_path / "table"))

@@ -1,11 +1,12 @@
 """The facility pool: all that can be said about facilities before any event."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tremora import fixed
 from tremora.operators import enrich, facilities
 from tremora.session import written
+from tremora.sources import tables
 
 
 def require_unique_ids(pool: DataFrame) -> None:
@@ -30,3 +31,13 @@ def build_pool(pois: DataFrame, risk: DataFrame, nfkc: bool = True,
     around = written(around, "surroundings")
     scaled = enrich.min_max(around, "local_support_raw", "local_support_score")
     return written(enrich.with_static_safety(scaled), "pool")
+
+
+def pool_from_csv(spark: SparkSession, poi_csv: str, risk_csv: str, output: str,
+                  rejects: str) -> DataFrame:
+    """The pool as a table at ``output``, from the two CSV files; lines that cannot be read are
+    under ``rejects``. What job 3 is started with: ``jobs.recommend_job(..., pool=...)``."""
+    pois = tables.load_pois(spark, poi_csv, f"{rejects}/pois")
+    risk = tables.load_risk(spark, risk_csv, f"{rejects}/risk")
+    build_pool(pois, risk).write.mode("overwrite").parquet(output)
+    return spark.read.parquet(output)

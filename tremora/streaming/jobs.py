@@ -4,6 +4,7 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -118,6 +119,51 @@ def risk_job(scored: DataFrame, table: Ledger, publish: Publish, checkpoint: str
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
 
+# --- live risk that fades ---------------------------------------------------------------------
+
+def current_live_risk(table: Ledger, faded: Ledger, before: int | None = None) -> DataFrame:
+    """The live table with its fading: of a district's last event and last decay the later one.
+    ``before`` leaves out the decays from that number on."""
+    rows = table.current().unionByName(
+        (faded.current() if before is None else faded.latest(before)).select(*LIVE_RISK.names))
+    last = W.partitionBy(*risk.DISTRICT_KEYS).orderBy(F.desc("updated_at"))
+    return rows.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n")
+
+
+def decay_live_risk(now: datetime, number: int, table: Ledger, faded: Ledger, publish: Publish,
+                    hours: float = fixed.DECAY_HOURS, steps=fixed.RISK_LEVEL_STEPS) -> None:
+    """Let every district's live risk fade up to ``now``, without any new event, and publish those
+    that change their level.
+
+    Decays are a table of their own, so that this job and job 2 never write the same one. A decay
+    starts from the last: whatever the schedule, the product of the steps is the whole.
+    """
+    at = F.lit(now)
+    before = written(current_live_risk(table, faded, number).where(F.col("updated_at") < at),
+                     "before-decay")
+    if before.isEmpty():
+        return
+    after = risk.decayed(before, at, hours, steps).withColumn("updated_at", at)
+    faded.append(after, number)
+    old = before.select(*risk.DISTRICT_KEYS, F.col("risk_level").alias("_level"))
+    moved = faded.of_batch(number).join(old, risk.DISTRICT_KEYS).where(
+        F.col("risk_level") != F.col("_level"))
+    publish(feeds.encode(moved, F.col("district_key"), schemas.CHANGE_COLUMNS), number)
+
+
+def decay_job(ticks: DataFrame, table: Ledger, faded: Ledger, publish: Publish, checkpoint: str,
+              trigger: dict, compact_every: int = COMPACT_EVERY) -> StreamingQuery:
+    """``ticks`` is any stream with a ``timestamp`` (Spark's ``rate`` source); the latest one of a
+    batch is its time, also when the batch is replayed."""
+    def step(batch: DataFrame, batch_id: int) -> None:
+        now = batch.agg(F.max("timestamp")).first()[0]
+        if now is not None:
+            decay_live_risk(now, batch_id, table, faded, publish)
+            faded.compact_every(compact_every, batch_id)
+    return (ticks.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+            .trigger(**trigger).start())
+
+
 # --- job 3: scored pairs to recommendations ---------------------------------------------------
 
 _RECOMMENDATION_TEXT = {
@@ -169,7 +215,10 @@ def update_recommendations(scored: DataFrame, batch_id: int, pairs: Ledger, pool
     if scored.isEmpty():
         return
     # a source may deliver a pair twice; two rows of one pair would both be its last
-    pairs.append(scored.dropDuplicates(list(pairs.keys)), batch_id)
+    # (the same one on a replay)
+    row = F.struct(*sorted(scored.columns))
+    one = scored.groupBy(*pairs.keys).agg(F.max(row).alias("_row")).select("_row.*")
+    pairs.append(one, batch_id)
     touched = pairs.of_batch(batch_id).select("event_id").distinct()
     buckets = [r.b for r in touched.select(pairs.bucket().alias("b")).distinct().collect()]
     known = pairs.latest(batch_id + 1, buckets).join(touched, "event_id", "left_semi")
