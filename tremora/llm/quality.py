@@ -3,13 +3,12 @@
 Two zstandard dictionaries are built, from good and from bad labelled texts. A text is compressed
 with each, block by block so that long texts meet the dictionaries all along. The difference of the
 two sizes over their sum is turned into a probability by a logistic fit on labelled rows that
-are in neither dictionary. The fit also sees the larger size over the text's bytes, as text that
-repeats itself is small with either dictionary, and the logarithm of the bytes, as differences of
-short texts say less.
+are in neither dictionary; its weight depends on the logarithm of the bytes, as differences of
+short texts say less. Nothing else goes into the score.
 
-At most ``SAMPLE_ROWS`` labelled rows are read for the fit (the first by a hash of the id), and of
-these at most ``DICTIONARY_DOCS`` a class for the dictionaries, of which at most ``SAMPLE_CHARS``
-characters each. Scoring compresses all blocks of all texts.
+At most ``SAMPLE_ROWS`` labelled rows are read for the fit (the first by a hash of the id). The
+dictionaries are trained on at most ``DICTIONARY_BLOCKS`` blocks a class, taken by a hash from all
+blocks of these rows' whole texts. Scoring compresses all blocks of all texts.
 
 Defined cases: null and empty texts have the difference 0; null labels and labels without document
 are left out, of repeated labels of an id the largest counts; without rows of both classes every
@@ -29,9 +28,8 @@ from pyspark.sql import functions as F
 from tremora.llm.common import fold_of, small_batches, texts
 from tremora.llm.toxicity import SAMPLE_ROWS, labelled_texts, sampled_labels
 
-DICTIONARY_DOCS = 1000
-SAMPLE_CHARS = 4096
-DICTIONARY_BYTES = 112_640
+DICTIONARY_BLOCKS = 6000
+DICTIONARY_BYTES = 400_000
 #: Characters of a block.
 BLOCK = 2048
 LEVEL = 3
@@ -103,9 +101,10 @@ def measures(text: Column, model: Compressors, spark) -> Column:
 
 
 def inputs(m) -> list:
-    """What the logistic fit sees, of numbers, arrays or columns alike."""
-    d, z, n = m
-    return [d, z, z * z, z * z * z, n, d * n]
+    """What the logistic fit sees, of numbers, arrays or columns alike: the difference, and how much
+    it says at this length."""
+    d, _, n = m
+    return [d, d * n]
 
 
 def calibrate(x: np.ndarray, y: np.ndarray, steps: int = 60) -> list[float]:
@@ -132,11 +131,14 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", folds: int
     rows = labelled_texts(docs, sample).where("text <> ''")
     # every other row by another hash: some for the dictionaries, the others to calibrate
     for_words = F.pmod(F.xxhash64(F.lit("words"), "doc_id"), F.lit(2)) == 0
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.length("text") - 1) / BLOCK).cast("int")),
+                         lambda k: F.substring("text", k * BLOCK + 1, F.lit(BLOCK)))
     chosen: dict[int, list[bytes]] = {}
     for label in (0, 1):
         picked = (rows.where(for_words & (F.col("label") == label))
-                  .select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-                  .orderBy(F.xxhash64("doc_id"), "doc_id").limit(DICTIONARY_DOCS).collect())
+                  .select("doc_id", F.posexplode(blocks).alias("at", "text"))
+                  .select(F.xxhash64("doc_id", "at").alias("mark"), "text")
+                  .orderBy("mark", "text").limit(DICTIONARY_BLOCKS).collect())
         chosen[label] = [r.text.encode() for r in picked]
     prior = sample.groupBy("label").count().collect()
     good = sum(r["count"] for r in prior if r.label == 1)
@@ -158,12 +160,14 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", folds: int
 
 def report(docs: DataFrame, model: Compressors, folds: int = 4, held_out: int = 2,
            limit: float = 0.7) -> DataFrame:
-    """``doc_id, held_out, score, predicted, difference`` for every row."""
+    """``doc_id, held_out, score, difference, density, predicted`` for every row; the density (the
+    larger size by byte) is for the reader, no part of the score."""
     *weights, shift = model.weights
     parts = inputs([F.col(f"m.{c}") for c in ("difference", "density", "size")])
     margin = sum((w * part for w, part in zip(weights, parts)), F.lit(shift))
     return (texts(docs).select(
         "doc_id", (fold_of(F.col("doc_id"), folds) == held_out).alias("held_out"),
         measures(F.col("text"), model, docs.sparkSession).alias("m"))
-        .select("doc_id", "held_out", (1 / (1 + F.exp(-margin))).alias("score"), "m.difference")
+        .select("doc_id", "held_out", (1 / (1 + F.exp(-margin))).alias("score"), "m.difference",
+                "m.density")
         .withColumn("predicted", (F.col("score") >= limit).cast("int")))
