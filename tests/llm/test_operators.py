@@ -337,6 +337,79 @@ def test_links_that_the_star_misses_are_found_in_blocks(spark):
     assert found == [(1, 2)]
 
 
+def test_links_with_unlike_signatures_are_not_passed_over():
+    """Sets that are links by their members, however few bins of their signatures agree."""
+    rng = np.random.default_rng(4)
+    sets, worst = [], 1.0
+    for _ in range(400):
+        both = rng.integers(0, 2 ** 63, 230, dtype=np.uint64)
+        pair = [np.unique(np.r_[both, rng.integers(0, 2 ** 63, 19, dtype=np.uint64)])
+                for _ in range(2)]
+        keys = [minhash.band_keys(s, 32, 6) for s in pair]
+        if not (keys[0] == keys[1]).any():
+            continue
+        alike = (minhash.signature(pair[0], 192) == minhash.signature(pair[1], 192)).mean()
+        if alike < worst:
+            worst, sets = alike, [*pair, int(keys[0][keys[0] == keys[1]][0])]
+    assert minhash.linked(*sets[:2], 85) and worst < 0.78
+    assert minhash.links_of_block([1, 2], [1, 2], sets[:2], [(True, True)] * 2, sets[2], 85, 32, 6
+                                  ) == [(1, 2)]
+
+
+def test_a_bucket_of_two_thousand_sets_is_compared_in_blocks(spark):
+    """One bucket, a centre unlike all others, and links among the others only."""
+    r = random.Random(12)
+    base = [f"w{k}" for k in range(60)]
+    texts = []
+    for k in range(1000):  # pairs of near copies; all share many words with all others
+        words = base + [f"x{k}y{j}" for j in range(40)]
+        texts += [" ".join(words), " ".join(words[:-1] + [f"z{k}"])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = dict(minhash.near_duplicates(docs, bands=32, rows=1).select(
+        "doc_id", "component_id").collect())
+    picks = r.sample(range(1000), 50)
+    assert all(got[2 * k] == got[2 * k + 1] == 2 * k for k in picks)
+    assert len(set(got.values())) == 1000
+
+
+def test_sizes_by_two_dictionaries_equal_plain_calls():
+    import zstandard
+    good, bad = b"a good text of words " * 40, b"### | ### | x y z " * 40
+    model = quality.Compressors(good, bad, (1.0, 0.0, 0.0))
+    for text in ["", "a good text", "### | x", "a good text of words " * 900, "é" * 5000]:
+        sizes = []
+        for words in (good, bad):
+            tool = zstandard.ZstdCompressor(
+                level=quality.LEVEL, dict_data=zstandard.ZstdCompressionDict(words),
+                write_checksum=False, write_content_size=False, write_dict_id=False)
+            sizes.append(sum(len(tool.compress(text[k:k + quality.BLOCK].encode()))
+                             for k in range(0, len(text), quality.BLOCK)))
+        want = (sizes[1] - sizes[0]) / sum(sizes) if text else 0.0
+        assert quality.Sizes(model).measure(text)[0] == want
+
+
+def test_quality_of_no_documents(spark):
+    docs, labels, _ = labelled(spark, lambda w: " | ".join(w) + " ###")
+    model = quality.fit(docs, labels)
+    assert quality.report(docs.limit(0), model).count() == 0
+    twice = quality.report(docs.union(docs), model).groupBy("doc_id").agg(
+        F.count_distinct("score").alias("n"), F.count(F.lit(1)).alias("rows"))
+    assert twice.where("n <> 1 OR rows <> 2").count() == 0
+
+
+def test_margins_of_the_machine_equal_a_plain_sum_over_pairs():
+    rng = np.random.default_rng(1)
+    features = [np.sort(rng.choice(50, rng.integers(1, 9), replace=False)) for _ in range(300)]
+    model = toxicity.fit_machine(features, rng.integers(0, 2, 300).astype(float), np.arange(50))
+    for terms in features[:40]:
+        want = model.bias + sum(float(model.weights[t]) for t in terms)
+        for i, a in enumerate(terms):
+            for b in terms[i + 1:]:  # every pair of terms once
+                want += sum(float(x) * float(y) for x, y in zip(model.factors[a], model.factors[b]))
+        got = model.margins(terms, np.zeros(len(terms), int), 1)[0]
+        assert math.isclose(got, want, rel_tol=1e-4, abs_tol=1e-4)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(7, 7)]
     links = spark.createDataFrame(edges, "a bigint, b bigint")

@@ -181,16 +181,12 @@ def links_of_block(ids: list, labels: list, sets: list[np.ndarray], sides: list[
                    bucket: int, percent: int, bands: int, rows: int) -> list[tuple]:
     """Links between members of different components, one block against the other.
 
-    A pair is tested only in the first bucket that it shares, if its signatures leave a link
-    possible: they must agree in so many bins as a link misses once in some ten thousand cases
-    of the border alone. Components joined on the way are not tested again.
+    A pair is tested only in the first bucket that it shares, and if the sizes of the sets leave a
+    link possible, which is exact. Components joined on the way are not tested again.
     """
-    n, bins = len(ids), bands * rows
-    signs = np.stack([signature(s, bins) for s in sets])
+    n = len(ids)
     keys = np.stack([band_keys(s, bands, rows) for s in sets])
     sizes = np.array([len(s) for s in sets])
-    share = percent / 100
-    least = bins * (share - 4 * (share * (1 - share) / bins) ** 0.5)
     number = {label: k for k, label in enumerate(dict.fromkeys(labels))}
     group = np.array([number[label] for label in labels])
     left = np.array([s[0] for s in sides])
@@ -206,8 +202,6 @@ def links_of_block(ids: list, labels: list, sets: list[np.ndarray], sides: list[
             continue
         same = keys[near] == keys[i]
         near = near[same.any(1) & (keys[i][same.argmax(1)] == bucket)]
-        if sizes[i] >= bins:  # small sets fill few bins, and are compared whole
-            near = near[(signs[near] == signs[i]).sum(1) >= least]
         for j in near:
             if group[i] != group[j] and linked(sets[i], sets[j], percent):
                 out.append((ids[i], ids[j]))
