@@ -13,6 +13,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]").appName("tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.driver.memory", "6g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
