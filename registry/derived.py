@@ -5,6 +5,7 @@ table expression in SQL. Every definition reads its source tables whole.
 """
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Reports of quakes: many per quake (a user and event type stand for one), some too weak.
 REPORT = """
@@ -88,6 +89,24 @@ SELECT k AS feed_id,
 FROM (SELECT event_id AS k, user_id FROM {events}) AS e
 """
 
+# The same points drawn together into one corner, so that most quakes are out of their reach.
+CORNER_POI = f"""
+SELECT * REPLACE (CAST(40 AS DOUBLE) + (latitude - 40) / 15 AS latitude,
+                  CAST(26.5 AS DOUBLE) + (longitude - 26.5) / 45 AS longitude)
+FROM ({POI}) AS p
+"""
+
+# Messages of the scored feed: text that is no JSON, keys that lack or are null.
+SCORED_TEXT = """
+SELECT k AS feed_id,
+       CASE WHEN k % 41 = 0 THEN concat('no score ', CAST(k AS STRING))
+            ELSE concat('{{"event_id":"EVT', CAST(k AS STRING), '"',
+                CASE WHEN k % 7 = 0 THEN '' ELSE ',"province_key":"P1"' END,
+                CASE WHEN k % 5 = 0 THEN ',"district_key":null'
+                     ELSE ',"district_key":"D1"' END, '}}') END AS value
+FROM (SELECT event_id AS k FROM {events}) AS e
+"""
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -109,5 +128,15 @@ def pois(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derive(spark, sf_dir, POI, "customer", "supplier", "nation")
 
 
+def corner_pois(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pois(spark, sf_dir).withColumns({
+        "latitude": F.lit(40.0) + (F.col("latitude") - 40) / 15,
+        "longitude": F.lit(26.5) + (F.col("longitude") - 26.5) / 45})
+
+
+def scored_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _derive(spark, sf_dir, SCORED_TEXT, "events")
+
+
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derive(spark, sf_dir, FEED, "events")

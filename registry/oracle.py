@@ -1,5 +1,7 @@
 """The same results in plain SQL, brute force over the whole tables."""
 
+import re
+
 from registry import derived
 from registry.shape import columns_sql
 from tremora import fixed, schemas
@@ -280,7 +282,8 @@ _CTES = {
 }
 
 
-def _with(names) -> str:
+def _with(names, **other) -> str:
+    """The tables that ``names`` need; ``other`` gives some of them another text."""
     order = []
 
     def visit(name):
@@ -290,7 +293,20 @@ def _with(names) -> str:
             order.append(name)
     for name in names:
         visit(name)
-    return "WITH " + ",\n".join(f"{n} AS ({_CTES[n][1].strip()})" for n in order)
+    return "WITH " + ",\n".join(f"{n} AS ({other.get(n, _CTES[n][1]).strip()})" for n in order)
+
+
+# an arrival of pairs brings a third of the districts; what is known after the first and second
+for _last in (0, 1):
+    _later = [n for n in _CTES if n in ("near", "activated", "ranking", "topf", "ranked", "topd",
+                                        "assigned")]
+    _word = re.compile(rf"\b({'|'.join(['scored', *_later])})\b")
+    _CTES[f"scored_{_last}"] = (("scored",), f"""
+        SELECT * FROM scored WHERE CAST(substr(district_key, 2) AS BIGINT) % 3 <= {_last}""")
+    for _name in _later:
+        _CTES[f"{_name}_{_last}"] = (
+            tuple(_word.sub(rf"\1_{_last}", n) for n in _CTES[_name][0]),
+            _word.sub(rf"\1_{_last}", _CTES[_name][1]))
 
 
 def sql(source: str, columns: str, where: str = "", also: tuple[str, ...] = ()) -> str:
@@ -352,6 +368,11 @@ def all_sql() -> dict[str, str]:
                    round(magnitude, 6) AS magnitude, round(depth_km, 4) AS depth_km,
                    round(latitude, 6) AS event_latitude, round(longitude, 6) AS event_longitude
             FROM fx_event""",
+        "event_attributes_of_pairs": _with(("fx_event",)) + f"""
+            SELECT event_id, event_name, event_time, {SEVERITY} AS severity,
+                   round(magnitude, 6) AS magnitude, round(depth_km, 4) AS depth_km,
+                   round(latitude, 6) AS event_latitude, round(longitude, 6) AS event_longitude
+            FROM fx_event""",
         "district_worst_case": sql("worst", LIVE_COLUMNS.replace(
             "live_risk_score risk_level", "")),
         "district_worst_case_of_pairs": sql("worst", LIVE_COLUMNS.replace(
@@ -430,6 +451,15 @@ def all_sql() -> dict[str, str]:
         "skipped_events": _with(("fx_event", "assigned")) + """
             SELECT event_id FROM fx_event
             WHERE event_id NOT IN (SELECT event_id FROM assigned)""",
+        "unreachable_events": _with(("fx_event", "assigned"),
+                                    fx_poi=derived.CORNER_POI.format(**_VIEWS)) + """
+            SELECT event_id FROM fx_event
+            WHERE event_id NOT IN (SELECT event_id FROM assigned)""",
+        "scored_quarantine": f"""
+            SELECT CASE WHEN taken THEN concat('EVT', CAST(feed_id AS VARCHAR)) ELSE value END
+                       AS item, taken
+            FROM (SELECT *, feed_id % 41 <> 0 AND feed_id % 7 <> 0 AND feed_id % 5 <> 0 AS taken
+                  FROM ({derived.SCORED_TEXT.format(**_VIEWS)}))""",
         "scored_feed": sql("scored", scored),
         "late_event_feed": sql("scored", "event_id province_key district_key"),
         "stream_dedup": _with(("fx_report",)) + """
@@ -450,9 +480,12 @@ def all_sql() -> dict[str, str]:
                   FROM arrival_live)
             WHERE before IS NULL OR abs(live_risk_score - before) > 1.0""",
         "recommendation_upsert": sql("assigned", " ".join(RECOMMENDATION_COLUMNS)),
-        "recommendation_feed": _with(("assigned",)) + f"""
-            SELECT concat(event_id, ':', CAST(facility_id AS VARCHAR)) AS key,
-                   {columns_sql(*RECOMMENDATION_COLUMNS)} FROM assigned""",
+        "recommendation_feed": _with(("assigned_0", "assigned_1", "assigned")) + f"""
+            SELECT concat(event_id, ':', CAST(facility_id AS VARCHAR)) AS key, batch,
+                   {columns_sql(*RECOMMENDATION_COLUMNS)}
+            FROM (SELECT 0 AS batch, * FROM assigned_0 UNION ALL BY NAME
+                  SELECT 1 AS batch, * FROM assigned_1 UNION ALL BY NAME
+                  SELECT 2 AS batch, * FROM assigned)""",
         "risk_level_thresholds": _with(("fx_district",)) + """
             SELECT round(quantile_cont(final_risk_score, 0.25), 6) AS low_max,
                    round(quantile_cont(final_risk_score, 0.5), 6) AS medium_max,

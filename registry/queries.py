@@ -151,6 +151,12 @@ def top_priority_districts_of_pairs(spark, sf):
 
 
 def event_attributes(spark, sf):
+    out = districts.attributes_of_events(events(spark, sf))
+    return shown(out).withColumn("depth_km", F.round("depth_km", 4))
+
+
+def event_attributes_of_pairs(spark, sf):
+    """The same from a table of pairs, which is all that job 3 gets."""
     out = districts.event_attributes(scored(spark, sf))
     return shown(out).withColumn("depth_km", F.round("depth_km", 4))
 
@@ -395,6 +401,14 @@ def skipped_events(spark, sf):
     return recommend.skipped_events(first_ten, recommend.assignments(first_ten, pool(spark, sf)))
 
 
+def unreachable_events(spark, sf):
+    """All facilities stand in one corner, so that some events have none in reach."""
+    candidates = written(pool_plan.build_pool(derived.corner_pois(spark, sf),
+                                              risk_table(spark, sf)), "corner-pool")
+    first_ten = top(spark, sf)
+    return recommend.skipped_events(first_ten, recommend.assignments(first_ten, candidates))
+
+
 # --- streams ----------------------------------------------------------------------------------
 
 def _arrivals(rows: DataFrame, part, start, parts: int = 3) -> None:
@@ -543,17 +557,34 @@ def recommendation_upsert(spark, sf):
 
 
 def recommendation_feed(spark, sf):
-    """The last batch of the feed, after all districts of all events are in."""
+    """All batches of the feed: each holds what was right with the districts known by then."""
     _, out = _recommendation_run(spark, sf)
     read = spark.read.schema("key string, value string, batch long").parquet(out)
-    last = feeds.decode(read.where("batch = 2"), jobs.RECOMMENDATION, keep=("key",))
-    return shown(last)
+    return shown(feeds.decode(read, jobs.RECOMMENDATION, keep=("key", "batch")))
+
+
+def scored_quarantine(spark, sf):
+    """Which messages of the scored feed jobs 2 and 3 take, and which they leave aside."""
+    folder = new_folder(spark, "scored-text")
+    (derived.scored_text(spark, sf).select(F.lit("k").alias("key"), "value")
+     .write.parquet(folder))
+    good, bad = new_folder(spark, "usable"), new_folder(spark, "quarantine")
+    usable = jobs.scored_feed_stream(spark, "parquet", {"path": folder}).select("event_id")
+    feeds.append_stream(usable, "parquet", {"path": good}, new_folder(spark, "state"),
+                        NOW).start().awaitTermination()
+    jobs.scored_quarantine_job(spark, "parquet", {"path": folder}, "parquet", {"path": bad},
+                               new_folder(spark, "state"), NOW).awaitTermination()
+    taken = spark.read.schema("event_id string").parquet(good)
+    left = spark.read.schema("text string").parquet(bad)
+    return taken.select(F.col("event_id").alias("item"), F.lit(True).alias("taken")).unionAll(
+        left.select(F.col("text").alias("item"), F.lit(False).alias("taken")))
 
 
 QUERIES = {f.__name__: f for f in (
     load_districts, refresh_districts, csv_scan, haversine_pairs, event_strength, severity_counts,
     event_district_impact, event_priority_rank, event_priority_rank_in_bands,
     top_priority_districts, top_priority_districts_of_pairs, event_attributes,
+    event_attributes_of_pairs,
     district_worst_case, district_worst_case_of_pairs, live_risk, json_decode_events, normalized_events, quarantined_events,
     event_dedup, first_reports, candidate_filter, support_filter, normalize_text,
     otogar_keyword_filter, facility_names, facility_access_type, facility_geo_dedup,
@@ -561,7 +592,8 @@ QUERIES = {f.__name__: f for f in (
     min_max_scaled, facility_pool, facility_access, facility_event_impact, facility_safety,
     eligible_facilities, facility_activation_rank, facility_rankings, top_facilities,
     nearest_facility_assignment, assignment_summary, logistics_recommendations, map_export,
-    skipped_events, scored_feed, late_event_feed, stream_dedup, unique_event_feed, late_event_split, live_risk_upsert, risk_change_feed,
+    skipped_events, unreachable_events, scored_feed, scored_quarantine, late_event_feed,
+    stream_dedup, unique_event_feed, late_event_split, live_risk_upsert, risk_change_feed,
     recommendation_upsert, recommendation_feed, risk_level_thresholds, risk_decay,
     scheduled_decay,
 )}

@@ -1,3 +1,4 @@
+import re
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -47,6 +48,54 @@ def test_ledger_keeps_the_last_batch_of_a_key(spark, tmp_path):
     assert rows(book.latest(1).select("k", "v")) == [("a", 1), ("b", 1)]
 
 
+def test_ledger_deletes_what_a_snapshot_holds(spark, tmp_path):
+    schema = spark.range(0).selectExpr("cast(id as string) k", "id v").schema
+    plain = Ledger(spark, str(tmp_path / "plain"), schema, ("k",), "k", 4)
+    book = Ledger(spark, str(tmp_path / "book"), schema, ("k",), "k", 4)
+    for n in range(8):
+        batch = spark.createDataFrame([("a", n), (f"k{n % 3}", n)], "k string, v long")
+        for each in (plain, book):
+            each.append(batch, n)
+        book.compact_every(2, n)
+        assert rows(book.current()) == rows(plain.current())
+    # the last snapshot and the one before, and what came after that one
+    assert {p.name for p in (tmp_path / "book/snapshot").iterdir()} == {"through=4", "through=6"}
+    assert {p.name for p in (tmp_path / "book/log").iterdir()} == {
+        "batch=5", "batch=6", "batch=7"}
+    for before in (6, 7):  # a replay of the batch that folded last, and of the next
+        assert rows(book.latest(before).select("k", "v")) == rows(
+            plain.latest(before).select("k", "v"))
+
+
+def test_a_batch_reads_the_days_of_its_events_alone(spark, tmp_path, scored, pool):
+    pairs = jobs.scored_table(spark, str(tmp_path / "pairs"))
+    table = jobs.recommendation_table(spark, str(tmp_path / "table"))
+    publish = jobs.folder_feed(str(tmp_path / "feed"))
+    days = [f"2024-02-{d:02d}" for d in range(1, 21)]
+    number = F.substring("event_id", 2, 9).cast("int")
+    dated = scored.withColumn("event_time", F.concat(F.element_at(F.array(*map(F.lit, days)),
+                                                                  number % 20 + 1),
+                                                     F.lit("T10:00:00")))
+    jobs.update_recommendations(dated, 0, pairs, pool, table, publish)
+    # half of one event's districts anew, and a corrected time for them
+    one = dated.where("event_id = 'E0'")
+    again = one.where(F.pmod(F.xxhash64("district_key"), F.lit(2)) == 0).withColumn(
+        "event_time", F.lit("2024-03-01T10:00:00"))
+    jobs.update_recommendations(again, 1, pairs, pool, table, publish)
+    known = jobs.pairs_of_touched(1, pairs)
+    assert known.count() == one.count() and known.select("district_key").distinct().count() == (
+        one.select("district_key").distinct().count())
+    assert {r.event_time[:10] for r in known.select("event_time").distinct().collect()} == {
+        "2024-02-01", "2024-03-01"}
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    filters = [f for f in re.findall(r"PartitionFilters: \[(.*?)\], Pushed", plan) if "day#" in f]
+    assert filters and all("bucket#" in f and "2024-02-01" in f and "2024-03-01" in f
+                           and "2024-02-02" not in f for f in filters)
+    files = pairs.within(2, None, ["2024-02-01", "2024-03-01"]).select(
+        F.input_file_name().alias("f")).distinct()
+    assert {r.f.split("/day=")[1][:10] for r in files.collect()} == {"2024-02-01", "2024-03-01"}
+
+
 def test_live_risk_batches_and_replay(spark, tmp_path, scored):
     table = jobs.live_risk_table(spark, str(tmp_path / "live"))
     publish = jobs.folder_feed(str(tmp_path / "feed"))

@@ -148,6 +148,13 @@ def event_attributes(scored: DataFrame) -> DataFrame:
     )
 
 
+def attributes_of_events(events: DataFrame) -> DataFrame:
+    """The same straight from the events, each of which is one row: no pair is formed."""
+    return impact.event_side(events).select(
+        "event_id", "event_name", "event_time", "severity", "magnitude", "depth_km",
+        "event_latitude", "event_longitude")
+
+
 def require_events(df: DataFrame, event_ids: list[str]) -> None:
     """Raise for ids that have no rows, as a caller asking for named events expects."""
     found = df.where(F.col("event_id").isin(event_ids)).select("event_id").distinct()

@@ -22,6 +22,10 @@ RECOMMEND_TRIGGER = {"processingTime": "20 seconds"}
 
 # batches between two foldings of a keyed table's history
 COMPACT_EVERY = 100
+# buckets of one day's pairs
+PAIR_BUCKETS = 8
+# a batch that touches more days than this reads its buckets of every day
+MOST_DAYS = 1000
 
 Publish = Callable[[DataFrame, int], None]
 
@@ -191,8 +195,19 @@ RECOMMENDATION = T.StructType([
 ])
 
 
+EVENT_DAY = T.StructType([T.StructField("event_id", T.StringType()),
+                          T.StructField("day_filed", T.StringType())])
+
+
 def scored_table(spark: SparkSession, path: str) -> Ledger:
+    """All pairs, filed by the day of the event and, within it, by a hash of the event."""
     return Ledger(spark, path, schemas.SCORED, ("event_id", "province_key", "district_key"),
+                  "event_id", PAIR_BUCKETS, "event_time")
+
+
+def days_table(pairs: Ledger) -> Ledger:
+    """Under which days the pairs of an event are filed: several, if its time was corrected."""
+    return Ledger(pairs.spark, f"{pairs.path}/days", EVENT_DAY, ("event_id", "day_filed"),
                   "event_id")
 
 
@@ -210,7 +225,7 @@ def update_recommendations(scored: DataFrame, batch_id: int, pairs: Ledger, pool
     """One micro-batch: file its pairs, then redo every event it touched from all its pairs.
 
     An event's districts may arrive over several batches, so its top ten must not be taken from
-    one batch alone. Only the buckets of touched events are read (at most 64 numbers here).
+    one batch alone.
     """
     if scored.isEmpty():
         return
@@ -219,9 +234,8 @@ def update_recommendations(scored: DataFrame, batch_id: int, pairs: Ledger, pool
     row = F.struct(*sorted(scored.columns))
     one = scored.groupBy(*pairs.keys).agg(F.max(row).alias("_row")).select("_row.*")
     pairs.append(one, batch_id)
+    known = pairs_of_touched(batch_id, pairs)
     touched = pairs.of_batch(batch_id).select("event_id").distinct()
-    buckets = [r.b for r in touched.select(pairs.bucket().alias("b")).distinct().collect()]
-    known = pairs.latest(batch_id + 1, buckets).join(touched, "event_id", "left_semi")
     # ten rows per touched event, written once as they serve twice
     top = written(districts.top_districts(known), "top-districts")
     # an event that lost its last facility in reach leaves one empty row, which hides older ones
@@ -231,12 +245,35 @@ def update_recommendations(scored: DataFrame, batch_id: int, pairs: Ledger, pool
     publish(feeds.encode(rows, key), batch_id)
 
 
+def pairs_of_touched(batch_id: int, pairs: Ledger) -> DataFrame:
+    """All pairs of the events that a batch touched, from the days and buckets of those events
+    alone: a batch costs what its events cost, however long the history is.
+
+    A narrow table of the days of each event finds them, so an event whose time was corrected is
+    still read whole. The driver sees bucket numbers (64 at most) and days (``MOST_DAYS``).
+    """
+    days = days_table(pairs)
+    filed = pairs.filed(batch_id).select("event_id", "bucket", F.col("day").alias("day_filed"))
+    days.append(filed.select("event_id", "day_filed").distinct(), batch_id)
+    touched = filed.select("event_id").distinct()
+    ours = _numbers(filed.select("bucket"))
+    theirs = _numbers(touched.select(days.bucket().alias("bucket")))
+    found = (days.within(batch_id + 1, theirs).join(touched, "event_id", "left_semi")
+             .select("day_filed").distinct().limit(MOST_DAYS + 1).collect())
+    named = [r.day_filed for r in found] if len(found) <= MOST_DAYS else None
+    return pairs.latest(batch_id + 1, ours, named).join(touched, "event_id", "left_semi")
+
+
+def _numbers(buckets: DataFrame) -> list[int]:
+    return [r.bucket for r in buckets.distinct().collect()]
+
+
 def recommend_job(scored: DataFrame, pairs: Ledger, pool: DataFrame, table: Ledger,
                   publish: Publish, checkpoint: str, trigger: dict = RECOMMEND_TRIGGER,
                   compact_every: int = COMPACT_EVERY) -> StreamingQuery:
     def step(batch: DataFrame, batch_id: int) -> None:
         update_recommendations(batch, batch_id, pairs, pool, table, publish)
-        for book in (pairs, table):
+        for book in (pairs, days_table(pairs), table):
             book.compact_every(compact_every, batch_id)
     return (scored.writeStream.foreachBatch(step)
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())
