@@ -280,6 +280,25 @@ def test_rules_by_trie_and_by_join(spark, limit):
     assert urls.judge(pages, rules.limit(0)).where("verdict <> 'allow'").count() == 0
 
 
+@pytest.mark.parametrize("scale", [1.0, 1e100, 1e-100])
+@pytest.mark.parametrize("shape", ["even", "clusters", "line"])
+def test_graph_of_batches_finds_the_nearest(shape, scale):
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(3000, 1 if shape == "line" else 24))
+    if shape == "clusters":
+        vectors = vectors[rng.integers(0, 90, 3000)] * 10 + rng.normal(size=vectors.shape) * .05
+    points = vectors[:200] + rng.normal(size=(200, vectors.shape[1])) * .01
+    graph = hnsw.Graph.build(vectors * scale)
+    found = graph.search(points * scale, 60)
+    want = np.argsort(((points[:, None] - vectors) ** 2).sum(2), 1)[:, :10]
+    caught = [len(set(a) & set(b)) for a, b in zip(found[:, :10].tolist(), want.tolist())]
+    assert sum(caught) >= 0.97 * 10 * len(points)
+    for layer, links in zip(graph.nodes, graph.links):
+        assert np.isin(links[links >= 0], layer).all() and (links != layer[:, None]).all()
+        assert all(len(set(x[x >= 0])) == (x >= 0).sum() for x in links)
+    assert graph.search(points * scale, 3000).shape == (200, 3000)
+
+
 # --- 8 ----------------------------------------------------------------------------------------
 
 def test_neighbours_against_brute_force(spark):
