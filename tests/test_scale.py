@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from registry import queries
 from tremora import schemas
-from tremora.operators import districts, ranks
+from tremora.operators import activation, districts, ranks
 from tremora.sources import feeds
 from tremora.streaming import jobs
 
@@ -105,6 +105,20 @@ def test_top_districts_sort_only_what_reaches_a_bound(spark):
     assert "_bound" in districts.top_districts(scored)._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_facilities_that_reach_no_bound_are_not_sorted(spark):
+    """Scores repeat, so that the third best is shared."""
+    activated = spark.range(4000).selectExpr(
+        "concat('E', id % 4) AS event_id", "id DIV 4 AS id", "1 AS copy",
+        "id % 2 = 0 AS is_named", "65 AS facility_type_score", "0D AS multimodal_score",
+        "0D AS local_support_score", "1D AS affected_area_access_score",
+        "0D AS facility_safety_score", "CAST(id * 7919 % 211 AS DOUBLE) AS facility_activation_score")
+    columns = ["event_id", "id", "activation_rank", "facility_order"]
+    plain, sieved = (activation.top_facilities(activated, sieve=sieve) for sieve in (False, True))
+    assert sorted(sieved.select(*columns).collect()) == sorted(plain.select(*columns).collect())
+    kept = ranks.can_be_among(activated, "event_id", "facility_activation_score", 3, ["id", "copy"])
+    assert kept.count() < activated.count() / 4
+
+
 def test_ten_places_from_keys_and_scores_alone(spark, tables, tmp_path):
     """A corrected pair counts with its last batch, and whole rows are joined to the winners."""
     scored = queries.scored(spark, tables)
