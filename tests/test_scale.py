@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from registry import queries
 from tremora import schemas
-from tremora.operators import activation, districts, ranks
+from tremora.operators import activation, districts, ranks, risk
 from tremora.sources import feeds
 from tremora.streaming import jobs
 
@@ -134,3 +134,44 @@ def test_ten_places_from_keys_and_scores_alone(spark, tables, tmp_path):
     want = districts.top_districts(now).select(*got.columns)
     assert sorted(got.collect()) == sorted(want.collect()) and got.count() == 10 * want.select(
         "event_id").distinct().count()
+
+
+def odd_pairs(spark, seed=3, count=6000):
+    """Pairs with missing keys, ids and scores, ties and scores that are no numbers."""
+    chance = random.Random(seed)
+
+    def pick(value):
+        return None if chance.random() < 0.05 else value
+
+    def score():
+        return pick(float("nan") if chance.random() < 0.001 else chance.randint(0, 300) / 4)
+    rows = [(pick(f"E{chance.randint(0, 9000)}"), pick("P"), pick(f"D{chance.randint(0, 20)}"), "p",
+             pick("d"), score(), score(), score()) for _ in range(count)]
+    rows += [(f"E{n % 2}", "P", "weak", "p", "d", None, 1.0, None) for n in range(9)]
+    rows += [(None, "P", "bare", "p", "d", None, None, None)] * 3
+    return spark.createDataFrame(rows, (
+        "event_id string, province_key string, district_key string, province string, "
+        "district string, event_impact_score double, final_risk_score double, "
+        "dynamic_priority_score double"))
+
+
+def as_text(df) -> list[str]:
+    return sorted(str(row) for row in df.collect())
+
+
+@pytest.mark.parametrize("places", [(1, 8, 64, 512, 4096), (2,)])
+def test_worst_case_of_what_reaches_a_bound_is_the_worst_case(spark, monkeypatch, places):
+    monkeypatch.setattr(risk, "_ID_PLACES", places)
+    pairs = odd_pairs(spark)
+    assert as_text(risk.district_worst_case(pairs, sieve=True)) == as_text(
+        risk.district_worst_case(pairs))
+    none = pairs.limit(0)
+    assert risk.district_worst_case(none, sieve=True).count() == 0
+
+
+def test_worst_case_sorts_only_what_reaches_a_bound(spark, tables):
+    """Maxima of text come after a filter by bounds; those of numbers sort nothing."""
+    found = queries.district_worst_case_of_pairs(spark, tables)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "_most" in plan and plan.count("NestedLoop") == 0
+    assert as_text(found) == as_text(queries.district_worst_case(spark, tables))
