@@ -175,3 +175,25 @@ def test_worst_case_sorts_only_what_reaches_a_bound(spark, tables):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "_most" in plan and plan.count("NestedLoop") == 0
     assert as_text(found) == as_text(queries.district_worst_case(spark, tables))
+
+
+def test_attributes_of_pairs_need_no_second_look(spark, tables):
+    found = districts.event_attributes(queries.scored(spark, tables))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "district_key" not in plan
+    want = districts.attributes_of_events(queries.events(spark, tables))
+    assert as_text(found) == as_text(want)
+
+
+def test_attributes_are_those_of_the_first_district(spark, tables):
+    """Events whose pairs differ, one of them without an id."""
+    pairs = queries.scored(spark, tables).withColumn("event_name", F.when(
+        F.col("event_id") < "EVT2", F.concat("event_name", F.lit(" "), "district_key"))
+        .otherwise(F.col("event_name")))
+    nameless = pairs.where("event_id = 'EVT1-click'").withColumn(
+        "event_id", F.lit(None).cast("string"))
+    pairs = pairs.unionByName(nameless)
+    first = W.partitionBy("event_id").orderBy("district_key", "province_key")
+    want = pairs.withColumn("_n", F.row_number().over(first)).where("_n = 1")
+    found = districts.event_attributes(pairs)
+    assert as_text(found) == as_text(want.select(*found.columns)) and found.count() == EVENTS + 1

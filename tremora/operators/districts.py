@@ -9,6 +9,7 @@ from tremora.functions import geo, scores
 from tremora.operators import impact, pyramid
 from tremora.operators.pairing import fits_broadcast
 from tremora.operators.ranks import can_be_among, rank_by_score
+from tremora.session import written
 
 
 def priority_order() -> list[Column]:
@@ -142,23 +143,32 @@ def top_districts_of_events(events: DataFrame, districts: DataFrame,
     return _first_ten(impact.with_impact(pairs).select(*schemas.SCORED_COLUMNS), top)
 
 
+_ATTRIBUTES = ["event_id", "event_name", "event_time", "severity", "magnitude", "depth_km",
+               "event_latitude", "event_longitude"]
+
+
 def event_attributes(scored: DataFrame) -> DataFrame:
-    """One row per event with its own columns."""
+    """One row per event with its own columns, as its first district has them.
+
+    The pairs of an event seldom differ in them, so the sets that occur are found first, by an
+    aggregation that sorts no pairs. Only events with several are looked up in the pairs again.
+    """
+    sets = written(scored.select(*_ATTRIBUTES).distinct(), "event-attributes").withColumn(
+        "_sets", F.count(F.lit(1)).over(W.partitionBy("event_id")))
+    settled = sets.where("_sets = 1").drop("_sets")
+    several = sets.where("_sets > 1").select(F.col("event_id").alias("_id")).distinct()
+    if several.isEmpty():
+        return settled
     first = W.partitionBy("event_id").orderBy("district_key", "province_key")
-    return (
-        scored.select("event_id", "event_name", "event_time", "severity", "magnitude",
-                      "depth_km", "event_latitude", "event_longitude",
-                      "district_key", "province_key")
-        .withColumn("_n", F.row_number().over(first)).where("_n = 1")
-        .drop("_n", "district_key", "province_key")
-    )
+    again = scored.join(several, F.col("event_id").eqNullSafe(F.col("_id")), "left_semi")
+    return settled.unionByName(
+        again.select(*_ATTRIBUTES, "district_key", "province_key")
+        .withColumn("_n", F.row_number().over(first)).where("_n = 1").select(*_ATTRIBUTES))
 
 
 def attributes_of_events(events: DataFrame) -> DataFrame:
     """The same straight from the events, each of which is one row: no pair is formed."""
-    return impact.event_side(events).select(
-        "event_id", "event_name", "event_time", "severity", "magnitude", "depth_km",
-        "event_latitude", "event_longitude")
+    return impact.event_side(events).select(*_ATTRIBUTES)
 
 
 def require_events(df: DataFrame, event_ids: list[str]) -> None:
