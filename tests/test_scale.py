@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from registry import queries
 from tremora import schemas
-from tremora.operators import activation, districts, ranks, risk
+from tremora.operators import activation, districts, pyramid, ranks, risk
 from tremora.sources import feeds
 from tremora.streaming import jobs
 
@@ -197,3 +197,22 @@ def test_attributes_are_those_of_the_first_district(spark, tables):
     want = pairs.withColumn("_n", F.row_number().over(first)).where("_n = 1")
     found = districts.event_attributes(pairs)
     assert as_text(found) == as_text(want.select(*found.columns)) and found.count() == EVENTS + 1
+
+
+@pytest.mark.parametrize("level", [0, len(pyramid.LEVELS) - 1])
+def test_a_crowded_cell_is_dealt_over_tasks(spark, monkeypatch, level):
+    """Nine of ten rows stand in one cell, next to one without a cell."""
+    for name in ("TASK_ROWS", "CROWD_ROWS", "WIDE_CROWD_ROWS"):
+        monkeypatch.setattr(pyramid, name, 50)
+    placed = spark.range(2001).selectExpr(
+        "id", "0 AS _band", f"{level} AS _level",
+        "CASE WHEN id = 2000 THEN NULL WHEN id % 10 = 0 THEN id ELSE -1L END AS _cell")
+    listed = spark.range(3).selectExpr("id AS place", "0 AS _band", f"{level} AS _level",
+                                       "IF(id < 2, -1L, 20L) AS _cell")
+    joined = pyramid.band_join(placed, listed, F.col("id") % 3 != F.col("place"), 3, rows=0)
+    crowd = [n for n in range(2000) if n % 10]
+    want = [(n, place) for n in crowd for place in (0, 1) if n % 3 != place]
+    assert sorted((r.id, r.place) for r in joined.collect()) == want and joined.columns == [
+        "id", "place"]
+    tasks = pyramid._dealt(placed, listed, 3)[0].groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in tasks) < 400

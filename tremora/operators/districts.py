@@ -110,7 +110,14 @@ def district_candidates(events: DataFrame, districts: DataFrame, top: int = fixe
     side = impact.district_side(districts).where(
         "final_risk_score IS NOT NULL AND district_latitude IS NOT NULL "
         "AND district_longitude IS NOT NULL")
+    size = side.count() * len(pyramid.LEVELS) * pyramid.MOST_CELLS
     bounded = _bounded_events(impact.spread(impact.event_side(events)), side, top, rows)
+    if size > rows:
+        # both sides are shuffled by cell then: few files must not fan out in few tasks
+        bounded = written(bounded, "bounded-events")
+        most = bounded.count() * (len(_BANDS) + 1)
+        bounded = bounded.repartition(pyramid.task_count_for(bounded, most, pyramid.FAN_ROWS))
+        side = side.repartition(pyramid.task_count_for(side, size, pyramid.FAN_ROWS))
     limits = _limits(side)
     if not limits:
         limits = [0.0]
@@ -131,7 +138,6 @@ def district_candidates(events: DataFrame, districts: DataFrame, top: int = fixe
                   "district_latitude", "district_longitude", "_level"))))
     exact = scores.dynamic_priority(scores.impact(F.col("event_strength"), impact.distance()),
                                     F.col("final_risk_score")) >= F.col("_bound")
-    size = side.count() * len(pyramid.LEVELS) * pyramid.MOST_CELLS
     return pyramid.band_join(placed, listed, exact, size, rows).drop("_bound")
 
 

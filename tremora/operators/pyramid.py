@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from tremora import fixed
 from tremora.functions import geo
-from tremora.operators.pairing import numbers
 from tremora.session import task_count, written
 
 #: Radii in km of the grids, narrow to wide; the last one is more than half the way round.
@@ -104,28 +103,55 @@ def squared_chord(member: Column, place: str) -> Column:
     return sum((g * g for g in gaps[1:]), gaps[0] * gaps[0])
 
 
+#: Rows of both sides that one task gets, and rows of the growing side that stay together in a
+#: crowded cell; on the wide levels, where a row meets the most, fewer do.
+TASK_ROWS, CROWD_ROWS, WIDE_CROWD_ROWS = 25_000, 25_000, 2_500
+#: Rows that one task makes of those that fan out to bands and cells.
+FAN_ROWS = 250_000
+
+
+def task_count_for(df: DataFrame, count: int, rows: int = TASK_ROWS) -> int:
+    """Tasks for ``count`` rows, so that what one task holds does not grow with the tables."""
+    return max(2 * task_count(df.sparkSession), -(-count // rows))
+
+
+def _dealt(placed: DataFrame, listed: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``_salt`` and hashed to as many tasks as their rows ask for.
+
+    A count by cell, one row each, says how many parts a crowd makes. The number of tasks is
+    given, as adaptive execution merges partitions until they are large, though each row fans out.
+    """
+    keys = ["_band", "_level", "_cell"]
+    counts = written(placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), "crowds")
+    total = counts.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n")).first().n
+    wide = F.col("_level") >= len(LEVELS) - 2
+    found = F.ceil(F.col("_rows") / F.when(wide, WIDE_CROWD_ROWS).otherwise(CROWD_ROWS))
+    # at most total / WIDE_CROWD_ROWS cells
+    crowds = F.broadcast(counts.select(*keys, found.alias("_parts")).where("_parts > 1"))
+    parts = F.coalesce("_parts", F.lit(1).cast("long"))
+    tasks = task_count_for(placed, total + most)
+    own = F.pmod(F.xxhash64(*placed.columns), parts)
+    every = F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))
+    return tuple(side.join(crowds, keys, "left").withColumn("_salt", salt).drop("_parts")
+                 .repartition(tasks, *keys, "_salt")
+                 for side, salt in ((placed, own), (listed, every)))
+
+
 def band_join(placed: DataFrame, listed: DataFrame, condition: Column, most: int,
-              rows: int = fixed.BROADCAST_ROWS, salts: int = fixed.SALTS) -> DataFrame:
+              rows: int = fixed.BROADCAST_ROWS) -> DataFrame:
     """Pairs of the same ``(_band, _level, _cell)`` that meet ``condition``.
 
     ``placed`` is the side that grows: a row has one cell per band. ``listed`` names every cell
     that a row can reach, in at most ``most`` rows. If they are few it is broadcast, and the
-    partitioning of ``placed`` survives. Else both are shuffled; the wide levels, on which many
-    rows share a cell, are salted.
+    partitioning of ``placed`` survives. Else both are shuffled, for which ``placed`` is read
+    twice; the rows of a crowded cell are dealt over parts.
     """
-    same = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"{c}_of")
-                                       for c in ("_band", "_level", "_cell")])
-    listed = listed.withColumnsRenamed({c: f"{c}_of" for c in ("_band", "_level", "_cell")})
+    keys = ["_band", "_level", "_cell"]
     if most <= rows:
-        joined = placed.join(F.broadcast(listed), same & condition)
+        listed = F.broadcast(listed)
     else:
-        parts = min(task_count(placed.sparkSession), salts)
-        wide = F.col("_level_of") >= len(LEVELS) - 2
-        placed = placed.withColumn("_salt", F.when(
-            F.col("_level") >= len(LEVELS) - 2, F.pmod(F.xxhash64(*placed.columns), F.lit(parts)))
-            .otherwise(F.lit(0).cast("long")))
-        listed = listed.withColumn("_salt_of", F.explode(F.when(wide, numbers(parts)).otherwise(
-            numbers(1))))
-        joined = placed.join(listed, same & (F.col("_salt") == F.col("_salt_of")) & condition)
-    return joined.drop(*[c for c in joined.columns if c in (
-        "_band", "_level", "_cell", "_salt", "_band_of", "_level_of", "_cell_of", "_salt_of")])
+        placed, listed = _dealt(placed, listed, most)
+        keys = [*keys, "_salt"]
+    listed = listed.withColumnsRenamed({c: f"{c}_of" for c in keys})
+    same = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"{c}_of") for c in keys])
+    return placed.join(listed, same & condition).drop(*keys, *[f"{c}_of" for c in keys])
