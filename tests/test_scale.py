@@ -8,8 +8,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from registry import queries
-from tremora import schemas
-from tremora.operators import activation, districts, pyramid, ranks, risk
+from tremora import fixed, schemas
+from tremora.operators import access, activation, districts, facilities, pyramid, ranks, risk
+from tremora.plans import recommend
 from tremora.sources import feeds
 from tremora.streaming import jobs
 
@@ -119,6 +120,31 @@ def test_facilities_that_reach_no_bound_are_not_sorted(spark):
     assert kept.count() < activated.count() / 4
 
 
+def test_ranks_are_dealt_over_more_tasks_as_the_rows_grow(spark, tables, monkeypatch):
+    """All rows stay, with their places and the pool's columns, in tasks that follow from counts."""
+    numbers = [f"id * {n} % 11 + 0.5D AS {c}" for n, c in enumerate((
+        "multimodal_score", "local_support_score", "historical_hazard_safety_score",
+        "fault_distance_safety_score", "local_support_raw"), 3)]
+    texts = [f"concat('{c}', id) AS {c}" for c in (
+        "facility_name", "facility_name_key", "facility_access_type", "kategori", "alt_tur",
+        "province", "district", "province_key", "district_key")]
+    counts = [f"id % 3 AS nearby_{c}_count" for c in (
+        "transport_mode", "hospital", "fire_station", "police", "fuel_station")]
+    pool = spark.range(40).selectExpr(
+        "id", "1 AS copy", "id % 2 = 0 AS is_named", "65 AS facility_type_score",
+        "40.5D + id % 20 / 50 AS latitude", "28D + id / 50 AS longitude", *numbers, *texts, *counts)
+    top = queries.top(spark, tables)
+    monkeypatch.setattr(fixed, "SORTED_ROWS", EVENTS * 40 // 90, raising=False)
+    ranked = recommend.facility_rankings(top, pool)
+    place = F.row_number().over(W.partitionBy("event_id").orderBy(
+        F.desc("facility_activation_score"), *facilities.candidate_order()))
+    plain = recommend.activated_facilities(top, pool).withColumn("activation_rank", place)
+    columns = ["event_id", "id", "activation_rank", *[c for c in access.POOL_COLUMNS
+                                                      if c in ranked.columns and c != "id"]]
+    assert sorted(ranked.select(columns).collect()) == sorted(plain.select(columns).collect())
+    assert ranked.count() > EVENTS and ranked.rdd.getNumPartitions() > 80
+
+
 def test_ten_places_from_keys_and_scores_alone(spark, tables, tmp_path):
     """A corrected pair counts with its last batch, and whole rows are joined to the winners."""
     scored = queries.scored(spark, tables)
