@@ -7,9 +7,10 @@ import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from registry import queries
+from registry import queries, shape
 from tremora import fixed, schemas
-from tremora.operators import access, activation, districts, facilities, pyramid, ranks, risk
+from tremora.operators import (access, activation, districts, facilities, impact, pyramid, ranks,
+                               risk)
 from tremora.plans import recommend
 from tremora.sources import feeds
 from tremora.streaming import jobs
@@ -242,3 +243,47 @@ def test_a_crowded_cell_is_dealt_over_tasks(spark, monkeypatch, level):
         "id", "place"]
     tasks = pyramid._dealt(placed, listed, 3)[0].groupBy(F.spark_partition_id()).count().collect()
     assert max(r["count"] for r in tasks) < 400
+
+
+def odd_events_and_places(spark):
+    """Texts with quotes and letters, missing values, numbers that are none."""
+    nan, none = float("nan"), None
+    events = spark.createDataFrame([
+        ("E1", 'zone "A"\n\\', 40.1, 27.2, 6.1, 11.0, "2024-01-01T10:00:00"),
+        ("E2", "Çağ", none, 27.2, none, none, none), (none,) * 7,
+        ("", "", 41.0, 28.0, nan, 5.0, "x"), ("E3", none, 89.9, -179.9, 7.9, 0.0, "t")],
+        "event_id string, event_name string, latitude double, longitude double, magnitude double, "
+        "depth_km double, event_time string")
+    places = spark.createDataFrame([
+        ("p", "İl{,}", "P1", "D1", 40.0, 27.0, 55.5), (none,) * 7,
+        ("p", "d", none, "D2", none, none, 10.0), ("", "", "", "", 41.0, 28.0, nan)],
+        "province string, district string, province_key string, district_key string, "
+        "latitude double, longitude double, final_risk_score double")
+    return events, places
+
+
+@pytest.mark.parametrize("rows", [fixed.BROADCAST_ROWS, 2])
+def test_messages_are_the_text_of_the_pairs(spark, rows):
+    """With what a pair has from its event and its district written before the two meet."""
+    events, places = odd_events_and_places(spark)
+    pairs = impact.score_pairs(events, places)
+    want = feeds.encode(pairs, F.col("district_key"))
+    found = impact.pair_messages(events, places, rows)
+    assert as_text(found) == as_text(want) and found.count() == 20
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Join"):]
+    assert "AS _event#" in below and "AS _district#" in below
+
+
+def test_a_fast_round_is_the_round(spark):
+    """Halves, both signs, large ones, numbers that are none."""
+    chance = random.Random(11)
+    values = [None, 0.0, -0.0, float("nan"), float("inf"), float("-inf"), 1e300, -33787474.9436055,
+              5e-7, -5e-7, 4.9e-7, -1e-9, 1e6 + 0.12345649, 67656421.0841595, 47.0396, 2.5e-5]
+    values += [n / 2e4 for n in range(-50, 50)] + [n / 2e6 for n in range(-50, 50)]
+    values += [chance.uniform(-1, 1) * 10 ** chance.randint(-7, 9) for _ in range(20000)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for places in (4, 6):
+        both = df.select("x", F.round("x", places).cast("string").alias("want"),
+                         shape.rounded(F.col("x"), places).cast("string").alias("found"))
+        assert both.where("NOT want <=> found").collect() == []
