@@ -275,6 +275,33 @@ def test_messages_are_the_text_of_the_pairs(spark, rows):
     assert "AS _event#" in below and "AS _district#" in below
 
 
+def test_a_job_decodes_what_it_uses(spark):
+    """Some columns of a message are the same as of all its columns, odd ones included."""
+    events, places = odd_events_and_places(spark)
+    odd = ["no json", '{"event_id":"E9"', '{"event_id":"E9","province_key":"P","district_key":"D",'
+           '"magnitude":"much","event_impact_score":"high","province":7}', "[]", "", None,
+           '{"event_id":"E9","province_key":"P","district_key":"D"}']
+    raw = impact.pair_messages(events, places).unionByName(
+        spark.createDataFrame([("k", text) for text in odd], "key string, value string"))
+    whole = jobs.scored_messages(raw).select(*risk.COLUMNS)
+    found = jobs.scored_messages(raw, risk.COLUMNS)
+    assert as_text(found) == as_text(whole) and found.columns == risk.COLUMNS
+    assert as_text(risk.district_worst_case(found)) == as_text(risk.district_worst_case(whole))
+
+
+@pytest.mark.parametrize("name", ["live_risk_upsert", "risk_change_feed"])
+def test_job_2_is_given_the_columns_it_uses(spark, tables, monkeypatch, name):
+    given = []
+
+    def job(stream, *rest):
+        given.append(stream.columns)
+        return stream.writeStream.format("noop").option(
+            "checkpointLocation", rest[-2]).trigger(**NOW).start()
+    monkeypatch.setattr(queries.jobs, "risk_job", job)
+    queries._live_risk_run(spark, tables)
+    assert given == [risk.COLUMNS] * 3
+
+
 def test_a_fast_round_is_the_round(spark):
     """Halves, both signs, large ones, numbers that are none."""
     chance = random.Random(11)
