@@ -314,3 +314,61 @@ def test_a_fast_round_is_the_round(spark):
         both = df.select("x", F.round("x", places).cast("string").alias("want"),
                          shape.rounded(F.col("x"), places).cast("string").alias("found"))
         assert both.where("NOT want <=> found").collect() == []
+
+
+def test_a_bound_is_proven_by_a_share_of_the_members(spark, monkeypatch):
+    """Bounds are taken of few rows; winners, ties and keys with few rows stay whole."""
+    read = []
+
+    def keep(df, name, plain=ranks.written):
+        read.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return plain(df, name)
+    monkeypatch.setattr(ranks, "written", keep)
+    rows = spark.range(6000).selectExpr(
+        "concat('E', id % 3) AS event_id", "id DIV 3 AS id",
+        "CAST(id * 7919 % 997 AS DOUBLE) AS score").unionByName(spark.range(4).selectExpr(
+            "'few' AS event_id", "id", "CAST(id AS DOUBLE) AS score"))
+    kept = ranks.can_be_among(rows, "event_id", "score", 3, ["id"])
+
+    def best(of):
+        place = F.rank().over(W.partitionBy("event_id").orderBy(F.desc("score")))
+        return as_text(of.withColumn("_r", place).where("_r <= 3"))
+    assert best(kept) == best(rows)
+    assert kept.where("event_id = 'few'").count() == 4
+    assert kept.count() < 1500 and len(read) == 1
+    # the share is cut out before the rows are scored, where they meet
+    places = spark.range(64).selectExpr("id", "id * 7919 % 97 AS weight")
+    met = rows.select("event_id").distinct().crossJoin(places).selectExpr(
+        "event_id", "id", "weight * length(event_id) + 0D AS score")
+    ranks.can_be_among(met, "event_id", "score", 3, ["id"])
+    join = read[-1][read[-1].index("Join"):]
+    assert "shiftrightunsigned" in join
+
+
+@pytest.mark.parametrize("most", [0, fixed.BOUND_ROWS])
+def test_bounds_move_no_pairs_and_are_found_by_a_number_if_they_fit(spark, tables, monkeypatch, most):
+    """Keys that share a number have the lower bound, or none; null keys keep their winners."""
+    monkeypatch.setattr(fixed, "BOUND_ROWS", most)
+    pairs = queries.scored(spark, tables)
+    found = districts.top_districts(pairs)
+    want = districts.top_districts(pairs, sieve=False)
+    columns = ["event_id", "district_key", "province_key", "district_order", "event_priority_rank"]
+    assert as_text(found.select(columns)) == as_text(want.select(columns))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    join = plan[plan.index("BroadcastHashJoin" if most else "ShuffledHashJoin"):].splitlines()
+    assert ("xxhash64" in join[0]) == bool(most)
+    # events and bounds are dealt by hash, the pairs of the two are not
+    assert plan.count("Exchange hashpartitioning") - plan.count("Exchange hashpartitioning(xxhash64") <= 4
+    rows = spark.range(4000).selectExpr(
+        "CASE id % 4 WHEN 0 THEN NULL ELSE concat('E', id % 4) END AS event_id", "id DIV 4 AS id",
+        "CAST(id * 7919 % 997 AS DOUBLE) * IF(id % 4 = 1, 1, 9) AS score")
+    if most:
+        monkeypatch.setattr(ranks.F, "xxhash64", lambda *c, plain=F.xxhash64: (
+            plain(*c) if c == ("id",) else F.length(F.coalesce(*c, F.lit("E0")))))
+    kept = ranks.can_be_among(rows, "event_id", "score", 3, ["id"])
+    monkeypatch.undo()
+    place = F.rank().over(W.partitionBy("event_id").orderBy(F.desc("score")))
+
+    def best(of):
+        return as_text(of.withColumn("_r", place).where("_r <= 3"))
+    assert best(kept) == best(rows)
