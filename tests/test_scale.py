@@ -345,6 +345,30 @@ def test_a_bound_is_proven_by_a_share_of_the_members(spark, monkeypatch):
     assert "shiftrightunsigned" in join
 
 
+@pytest.mark.parametrize("share", [1, 16, 2 ** 40])
+def test_ids_of_some_districts_part_the_pairs(spark, monkeypatch, share):
+    """Any limits give the worst case, with no district among those that name the ids, too."""
+    monkeypatch.setattr(risk, "_ID_SHARE", share)
+    pairs = odd_pairs(spark, seed=7)
+    assert as_text(risk.district_worst_case(pairs, sieve=True)) == as_text(
+        risk.district_worst_case(pairs))
+
+
+def test_ids_come_from_a_share_of_the_districts(spark, monkeypatch):
+    read = []
+
+    def keep(df, name, plain=risk.written):
+        out = plain(df, name)
+        if name == "event-ids":
+            read.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return out
+    monkeypatch.setattr(risk, "written", keep)
+    pairs = spark.range(3200).selectExpr(
+        "concat('E', id % 32) AS event_id", "'P' AS province_key", "concat('D', id DIV 32) AS district_key")
+    risk._id_band(pairs)
+    assert len(read) == 1 and "xxhash64" in read[0]
+
+
 @pytest.mark.parametrize("most", [0, fixed.BOUND_ROWS])
 def test_bounds_move_no_pairs_and_are_found_by_a_number_if_they_fit(spark, tables, monkeypatch, most):
     """Keys that share a number have the lower bound, or none; null keys keep their winners."""
